@@ -60,8 +60,10 @@ def ab_formulas(alpha: float = 0.05) -> dict[str, str]:
     }
 
 
-def power_formulas(alpha: float = 0.05, target_power: float = 0.80, clip: float = 1e-6) -> dict[str, str]:
-    """Power check over columns control_rate (baseline), absolute_lift, n_control, n_treatment.
+def power_stages(alpha: float = 0.05, target_power: float = 0.80, clip: float = 1e-6) -> list[tuple[str, str]]:
+    """Power check as ordered (column, SQL) stages over columns control_rate
+    (baseline), absolute_lift, n_control, n_treatment. Each stage refers to
+    earlier ones by name, so expressions stay small.
 
     Cohen's h on clipped rates; required n per arm solves the two-sided normal
     power equation (closed form, then two Newton steps that add the far tail);
@@ -71,36 +73,47 @@ def power_formulas(alpha: float = 0.05, target_power: float = 0.80, clip: float
     za = repr(norm_ppf(1 - alpha / 2))
     zb = repr(norm_ppf(target_power))
     lo, hi = repr(clip), repr(1 - clip)
-    base = f"greatest(least(CAST(control_rate AS DOUBLE), {hi}), {lo})"
-    treat = f"greatest(least({base} + CAST(absolute_lift AS DOUBLE), {hi}), {lo})"
-    h = f"(2.0 * asin(sqrt({treat})) - 2.0 * asin(sqrt({base})))"
-    ah = f"abs({h})"
-    n0 = f"(2.0 * power(({za} + {zb}) / NULLIF({ah}, 0.0), 2))"
-
-    def newton(n: str) -> str:
-        s = f"({ah} * sqrt({n} / 2.0))"
-        f_ = f"({norm_sf_sql(f'({za} - {s})')} + {norm_sf_sql(f'({za} + {s})')} - {repr(target_power)})"
-        # d/dn of the power: pdf terms times ds/dn = |h| / (4 sqrt(n/2))
-        dsdn = f"({ah} / (4.0 * sqrt({n} / 2.0)))"
-        pdf1 = f"exp(-power({za} - {s}, 2) / 2.0)"
-        pdf2 = f"exp(-power({za} + {s}, 2) / 2.0)"
-        deriv = f"(({pdf1} - {pdf2}) / 2.5066282746310002 * {dsdn})"
-        return f"({n} - {f_} / NULLIF({deriv}, 0.0))"
-
-    n_req = newton(newton(n0))
-    n1 = "CAST(least(n_control, n_treatment) AS DOUBLE)"
-    ratio = "(CAST(greatest(n_treatment, 1) AS DOUBLE) / greatest(n_control, 1))"
-    neff = f"({n1} * {ratio} / (1.0 + {ratio}))"
-    s_obs = f"({h} * sqrt({neff}))"
-    obs_power = f"({norm_sf_sql(f'({za} - {s_obs})')} + {norm_sf_sql(f'({za} + {s_obs})')})"
-    req = f"CAST(ceil({n_req}) AS BIGINT)"
-    return {
-        "baseline_rate": base,
-        "effect_size_h": h,
-        "required_n_per_group": req,
-        "observed_power": obs_power,
-        "is_sample_adequate": f"(n_control >= {req} AND n_treatment >= {req})",
-    }
+    st: list[tuple[str, str]] = [
+        ("baseline_rate", f"greatest(least(CAST(control_rate AS DOUBLE), {hi}), {lo})"),
+        ("_treat", f"greatest(least(baseline_rate + CAST(absolute_lift AS DOUBLE), {hi}), {lo})"),
+        ("effect_size_h", "(2.0 * asin(sqrt(_treat)) - 2.0 * asin(sqrt(baseline_rate)))"),
+        ("_ah", "abs(effect_size_h)"),
+        ("_n0", f"(2.0 * power(({za} + {zb}) / NULLIF(_ah, 0.0), 2))"),
+    ]
+    for k in range(2):
+        n, n_next = f"_n{k}", f"_n{k + 1}"
+        st += [
+            (f"_s{k}", f"(_ah * sqrt({n} / 2.0))"),
+            (f"_a{k}", f"({za} - _s{k})"),
+            (f"_b{k}", f"({za} + _s{k})"),
+            (f"_f{k}", f"({norm_sf_sql(f'_a{k}')} + {norm_sf_sql(f'_b{k}')} - {target_power!r})"),
+            (f"_d{k}", f"((exp(-_a{k} * _a{k} / 2.0) - exp(-_b{k} * _b{k} / 2.0)) / 2.5066282746310002 * _ah / (4.0 * sqrt({n} / 2.0)))"),
+            (n_next, f"({n} - _f{k} / NULLIF(_d{k}, 0.0))"),
+        ]
+    st += [
+        ("required_n_per_group", "CAST(ceil(_n2) AS BIGINT)"),
+        ("_ratio", "(CAST(greatest(n_treatment, 1) AS DOUBLE) / greatest(n_control, 1))"),
+        ("_neff", "(CAST(least(n_control, n_treatment) AS DOUBLE) * _ratio / (1.0 + _ratio))"),
+        ("_ao", f"({za} - effect_size_h * sqrt(_neff))"),
+        ("_bo", f"({za} + effect_size_h * sqrt(_neff))"),
+        ("observed_power", f"({norm_sf_sql('_ao')} + {norm_sf_sql('_bo')})"),
+        ("is_sample_adequate", "(n_control >= required_n_per_group AND n_treatment >= required_n_per_group)"),
+    ]
+    return st
+
+
+def apply_stages(df: DataFrame, stages: list[tuple[str, str]]) -> DataFrame:
+    for name, expr in stages:
+        df = df.withColumn(name, F.expr(expr))
+    return df.drop(*[n for n, _ in stages if n.startswith("_")])
+
+
+def stages_sql(base_sql: str, stages: list[tuple[str, str]]) -> str:
+    sql = base_sql
+    for i, (name, expr) in enumerate(stages):
+        sql = f"SELECT *, {expr} AS {name} FROM ({sql}) AS _s{i}"
+    temps = [n for n, _ in stages if n.startswith("_")]
+    return f"SELECT * EXCLUDE ({', '.join(temps)}) FROM ({sql}) AS _fin" if temps else sql
 
 
 # Decision rules and rationale texts.
@@ -472,10 +485,7 @@ def balance_check(
 
 def power_check(ab: DataFrame, alpha: float = 0.05, target_power: float = 0.80) -> DataFrame:
     """Adds power columns to an ``ab_test`` table (one row per experiment/segment)."""
-    f = power_formulas(alpha, target_power)
-    out = ab
-    for k in ("baseline_rate", "effect_size_h", "required_n_per_group", "observed_power", "is_sample_adequate"):
-        out = out.withColumn(k, F.expr(f[k]))
+    out = apply_stages(ab, power_stages(alpha, target_power))
     return out.withColumn("alpha", F.lit(float(alpha))).withColumn("target_power", F.lit(float(target_power)))
 
 

@@ -9,18 +9,23 @@ table of per-partition counts and sums (at most one row per partition and
 group) gives each partition its offset; joined back, it yields exact global
 ranks and running totals.
 
-Both consumers read the same range exchange inside one plan (the exchange is
-reused), and the order inside a partition is total, so the ids are stable
-when a lost task is recomputed.
+The ranged frame is materialised once (persisted, or checkpointed to the
+shared checkpoint folder) before its two consumers read it: two independent
+range exchanges would sample different bounds. The order inside a partition
+is total, so a lost cached block recomputed from the same shuffle gets the
+same ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkexp.session import cut_lineage
+
 _POS_MASK = (1 << 33) - 1
 
 
@@ -38,16 +43,27 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _ranged(df: DataFrame, order: Sequence[Column], group_cols: Sequence[str], num_partitions: int | None) -> DataFrame:
+def _ranged(
+    df: DataFrame,
+    order: Sequence[Column],
+    group_cols: Sequence[str],
+    num_partitions: int | None,
+    materialize: str = "persist",
+) -> DataFrame:
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order)
     n = _num_partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
-    return ranged.withColumn("_mid", mid).select(
+    out = ranged.withColumn("_mid", mid).select(
         "*",
         F.shiftright(F.col("_mid"), 33).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit(_POS_MASK)).alias("_pos"),
     ).drop("_mid")
+    if materialize == "checkpoint":
+        return cut_lineage(out)
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
 
 
 def global_rank(
@@ -57,7 +73,7 @@ def global_rank(
     rank_col: str = "rank",
     sum_cols: Sequence[str] = (),
     num_partitions: int | None = None,
-    broadcast_limit: int = 200_000,
+    materialize: str = "persist",
 ) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order`` within each group).
 
@@ -65,7 +81,7 @@ def global_rank(
     ``sum_cols`` is given, ``<col>_cum`` running sums (inclusive) are added as
     well; those need one more, balanced, shuffle keyed by range partition.
     """
-    ranged = _ranged(df, order, group_cols, num_partitions)
+    ranged = _ranged(df, order, group_cols, num_partitions, materialize)
     aggs = [F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")]
     aggs += [F.sum(F.col(c)).alias(f"_s_{c}") for c in sum_cols]
     stats = ranged.groupBy("_pid", *group_cols).agg(*aggs)
@@ -77,14 +93,14 @@ def global_rank(
         F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"),
         *[F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
     )
-    # At most one row per (partition, group): bounded by partitions when ungrouped.
-    right = F.broadcast(stats) if not group_cols else stats
+    # At most one row per (partition, group): bounded by the partition count
+    # when ungrouped, so broadcasting it is safe; grouped, AQE decides.
     if group_cols:
         s = stats.alias("_st")
         j = ranged.join(s, _null_safe_on(ranged, s, ["_pid", *group_cols]), "inner")
         j = j.select(ranged["*"], s["_first"], s["_off"], *[s[f"_o_{c}"] for c in sum_cols])
     else:
-        j = ranged.join(right, "_pid", "inner")
+        j = ranged.join(F.broadcast(stats), "_pid", "inner")
     out = j.withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(1))
     if sum_cols:
         wp = Window.partitionBy("_pid", *group_cols).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)

@@ -215,9 +215,8 @@ _POWER_COLS = ["baseline_rate", "effect_size_h", "required_n_per_group", "observ
 
 
 def _power_sql() -> str:
-    f = ex.power_formulas()
-    cols = ", ".join(f"{f[k]} AS {k}" for k in _POWER_COLS)
-    return f"SELECT *, {cols}, 0.05 AS alpha, 0.8 AS target_power FROM ({_ab_sql(['o_orderpriority'])}) AS a"
+    staged = ex.stages_sql(_ab_sql(["o_orderpriority"]), ex.power_stages())
+    return f"SELECT *, 0.05 AS alpha, 0.8 AS target_power FROM ({staged}) AS a"
 
 
 @register("power_check", _power_sql(), AB_DOUBLES + ["baseline_rate", "effect_size_h", "observed_power", "alpha", "target_power"])
