@@ -132,6 +132,7 @@ def exact_quantiles(
     qs = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
     targets = counts.crossJoin(F.broadcast(qs)).select(
         *keys,
+        "_n",
         "q_index",
         "prob",
         # NumPy's virtual index for method 'linear': n*q + (1 - q) - 1
