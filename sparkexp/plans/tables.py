@@ -74,3 +74,57 @@ SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y,
        l_linestatus, l_shipdate
 FROM lineitem
 """
+
+
+# ------------------------------------------------------------ candidate view
+# per-brand aggregates of lineitem x part stand in for model candidates:
+# one leaderboard row per brand with metric-like columns, some NULL.
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_utc(spark)
+    li = load(spark, sf_dir, "lineitem")
+    p = load(spark, sf_dir, "part")
+    j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+    g = j.groupBy("p_brand").agg(
+        F.avg("l_discount").alias("cv_metric_mean"),
+        F.stddev_pop("l_discount").alias("cv_metric_std"),
+        (F.avg("l_extendedprice") / 1000.0).alias("holdout_primary_metric"),
+        F.avg(F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)).alias("holdout_secondary_metric"),
+        F.avg("l_tax").alias("holdout_tertiary_metric"),
+        F.when(F.min("p_partkey") % 7 == 0, F.lit(None)).otherwise(F.avg("l_discount") * 3.0).alias("calibration_metric"),
+        (F.count(F.lit(1)) / 100.0).alias("train_time_sec"),
+        F.avg("p_size").alias("infer_latency_ms"),
+        F.max("p_size").cast("double").alias("p95_latency_ms"),
+        (F.avg("p_retailprice") / 100.0).alias("model_size_mb"),
+        (F.sum("l_quantity") / 1000.0).alias("retrain_time_sec"),
+        (F.count(F.lit(1)) % 2 == 0).alias("_even"),
+    )
+    return g.select(
+        F.lit("candidates").alias("project_name"),
+        F.lit("binary_classification").alias("task_type"),
+        F.lit("spark").alias("library_source"),
+        F.col("p_brand").alias("model_name"),
+        F.col("p_brand").alias("_candidate_id"),
+        "cv_metric_mean", "cv_metric_std", "holdout_primary_metric", "holdout_secondary_metric",
+        "holdout_tertiary_metric", "calibration_metric", "train_time_sec", "infer_latency_ms",
+        "p95_latency_ms", "model_size_mb", "retrain_time_sec",
+        F.concat(F.lit("brand "), F.col("p_brand")).alias("interpretability_note"),
+        "_even",
+    )
+
+
+CANDIDATES_SQL = """
+SELECT 'candidates' AS project_name, 'binary_classification' AS task_type, 'spark' AS library_source,
+       p_brand AS model_name, p_brand AS _candidate_id,
+       avg(l_discount) AS cv_metric_mean, stddev_pop(l_discount) AS cv_metric_std,
+       avg(l_extendedprice) / 1000.0 AS holdout_primary_metric,
+       avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS holdout_secondary_metric,
+       avg(l_tax) AS holdout_tertiary_metric,
+       CASE WHEN min(p_partkey) % 7 = 0 THEN NULL ELSE avg(l_discount) * 3.0 END AS calibration_metric,
+       count(*) / 100.0 AS train_time_sec, avg(p_size) AS infer_latency_ms, CAST(max(p_size) AS DOUBLE) AS p95_latency_ms,
+       avg(p_retailprice) / 100.0 AS model_size_mb, sum(l_quantity) / 1000.0 AS retrain_time_sec,
+       'brand ' || p_brand AS interpretability_note,
+       count(*) % 2 = 0 AS _even
+FROM lineitem JOIN part ON l_partkey = p_partkey
+GROUP BY p_brand
+"""
