@@ -61,6 +61,15 @@ def align_schema(
     """Scoring-time schema: missing expected columns added as NULL, extras
     dropped, expected order restored, then the cleaning coercions re-applied.
     A missing categorical column stays NULL (it is not turned into text)."""
+    return df.select(*align_columns(df, expected, numeric_text_cols, category_cols))
+
+
+def align_columns(
+    df: DataFrame,
+    expected: T.StructType | Sequence[tuple[str, str]],
+    numeric_text_cols: Sequence[str] = ("TotalCharges",),
+    category_cols: Sequence[str] = ("SeniorCitizen",),
+) -> list:
     fields = [(f.name, f.dataType.simpleString()) for f in expected.fields] if isinstance(expected, T.StructType) else list(expected)
     present = set(df.columns)
     cols = []
@@ -76,7 +85,7 @@ def align_schema(
         else:
             c = F.lit(None).cast(dtype)
         cols.append(c.alias(name))
-    return df.select(*cols)
+    return cols
 
 
 def engineer_experiment_features(df: DataFrame) -> DataFrame:
