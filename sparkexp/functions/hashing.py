@@ -60,3 +60,63 @@ def poisson1_weight(u: Column, kmax: int = 16) -> Column:
 
 def poisson1_weight_sql(u: str, kmax: int = 16) -> str:
     return "(" + " + ".join(f"(CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END)" for c in poisson1_cdf(kmax)) + ")"
+
+
+# ---------------------------------------------------------------- vectorised 32-bit hash
+# For per-(row, replicate) draws a cryptographic hash per pair is too slow.
+# The "lowbias32" integer mixer (C. Wellons, public domain) is a bijection on
+# 32-bit integers with full avalanche; NumPy evaluates it on whole weight
+# matrices and DuckDB repeats it with UBIGINT arithmetic.
+# Mixer multipliers and the replicate salt constant.
+MIX_A = 0x7FEB352D
+MIX_B = 0x846CA68B
+REP_SALT = 0x9E3779B9
+MASK32 = 0xFFFFFFFF
+
+
+def h32_np(x):
+    """lowbias32 on a NumPy uint64 array holding 32-bit values."""
+    import numpy as np
+
+    x = np.asarray(x, dtype=np.uint64)
+    x = ((x ^ (x >> np.uint64(16))) * np.uint64(MIX_A)) & np.uint64(MASK32)
+    x = ((x ^ (x >> np.uint64(15))) * np.uint64(MIX_B)) & np.uint64(MASK32)
+    return x ^ (x >> np.uint64(16))
+
+
+def row_base_np(seed: int, ids):
+    """Per-row hash base from a seed and int64 ids (two's-complement words)."""
+    import numpy as np
+
+    ids = np.asarray(ids, dtype=np.int64)
+    low = (ids & np.int64(MASK32)).astype(np.uint64)
+    high = ((ids >> np.int64(32)) & np.int64(MASK32)).astype(np.uint64)
+    s = h32_np(np.uint64(seed & MASK32))
+    return h32_np(h32_np(low ^ s) ^ high)
+
+
+def rep_salt_np(n_rep: int):
+    import numpy as np
+
+    return h32_np(np.arange(n_rep, dtype=np.uint64) ^ np.uint64(REP_SALT))
+
+
+def poisson1_weights_np(seed: int, ids, n_rep: int, kmax: int = 16):
+    """rows x replicates matrix of Poisson(1) weights."""
+    import numpy as np
+
+    base = row_base_np(seed, ids)
+    u = h32_np(base[:, None] ^ rep_salt_np(n_rep)[None, :]).astype(np.float64) / TWO_32
+    cdf = np.asarray(poisson1_cdf(kmax))
+    return np.searchsorted(cdf, u, side="right").astype(np.int64)
+
+
+def h32_sql_stages(src: str, out: str) -> list[str]:
+    """DuckDB expressions computing lowbias32 of column ``src`` in stages
+    (each refers to the previous), ending in column ``out``."""
+    a, b = f"{out}_m1", f"{out}_m2"
+    return [
+        f"(xor({src}, {src} >> 16) * {MIX_A}::UBIGINT) & {MASK32}::UBIGINT AS {a}",
+        f"(xor({a}, {a} >> 15) * {MIX_B}::UBIGINT) & {MASK32}::UBIGINT AS {b}",
+        f"xor({b}, {b} >> 16) AS {out}",
+    ]

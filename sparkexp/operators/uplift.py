@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkexp.functions.hashing import poisson1_weight, seeded_uniform
 from sparkexp.operators.ordering import global_rank
 
 CLIP = 1e-6
@@ -282,21 +281,17 @@ def bootstrap_auuc(
     id_col: str,
     n_boot: int = 250,
     seed: int = 42,
-    block_rows: int = 4096,
     group_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Bootstrap mean and population std of AUUC.
 
     Resampling with replacement is replaced by independent Poisson(1) weights
-    per (row, replicate), drawn from a seeded md5 hash so a SQL engine can
-    repeat them. A row of weight w occupies w consecutive positions of the
-    replicate's order. Everything is exact sums: per (replicate, block of
-    ``block_rows`` ranks) the within-block weight prefix comes from a window
-    bounded by the block size, the across-block prefix from a window over the
-    blocks of one replicate. The deviation from multinomial resampling is
-    O(1/sqrt(n)) of the std.
+    per (row, replicate), drawn from a seeded 32-bit integer hash that a SQL
+    engine can repeat. A row of weight w occupies w consecutive positions of the
+    replicate's order; all sums are exact (see ``bootstrap_replicates``).
+    The deviation from multinomial resampling is O(1/sqrt(n)) of the std.
     """
-    per = bootstrap_replicates(df, outcome_col, treatment_col, score_col, id_col, n_boot, seed, block_rows, group_cols)
+    per = bootstrap_replicates(df, outcome_col, treatment_col, score_col, id_col, n_boot, seed, group_cols)
     return per.groupBy(*group_cols).agg(
         F.avg("auuc").alias("cv_metric_mean"),
         F.stddev_pop("auuc").alias("cv_metric_std"),
@@ -304,6 +299,57 @@ def bootstrap_auuc(
     )
 
 
+def _bootstrap_chunk_fn(group_cols: Sequence[str], n_boot: int, seed: int):
+    """Per score-ordered chunk of rows: per replicate, total weight, treated
+    weight, weighted u / v sums, sums of u / v times the chunk-local copy
+    positions, and the first weighted row's u / v."""
+    import numpy as np
+    import pandas as pd
+
+    from sparkexp.functions.hashing import poisson1_weights_np
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        W = poisson1_weights_np(seed, pdf["_id"].to_numpy(dtype=np.int64), n_boot)  # rows x replicates
+        t = pdf["_t"].to_numpy(dtype=np.float64)
+        y = pdf["_y"].to_numpy(dtype=np.float64)
+        u, v = t * y, (1.0 - t) * y
+        q = np.cumsum(W, axis=0) - W  # weight of earlier rows in the chunk
+        pos = W * q + W * (W + 1) / 2.0  # sum of the copies' positions
+        nz = W > 0
+        has = nz.any(axis=0)
+        first = nz.argmax(axis=0)
+        out = pd.DataFrame(
+            {
+                "rep": np.arange(n_boot, dtype=np.int32),
+                "_first_score": np.full(n_boot, pdf["_score"].iloc[0], dtype=np.float64),
+                "_first_id": np.full(n_boot, int(pdf["_id"].iloc[0]), dtype=np.int64),
+                "W": W.sum(axis=0),
+                "WT": (W * t[:, None]).sum(axis=0).astype(np.int64),
+                "Su": u @ W,
+                "Sv": v @ W,
+                "Tu": u @ pos,
+                "Tv": v @ pos,
+                "u1": np.where(has, u[first], np.nan),
+                "v1": np.where(has, v[first], np.nan),
+            }
+        )
+        for g in reversed(group_cols):
+            out.insert(0, g, pdf[g].iloc[0])
+        return out
+
+    def fn(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            if group_cols:
+                for _, part in pdf.groupby(list(group_cols), sort=False, dropna=False):
+                    yield fold(part)
+            else:
+                yield fold(pdf)
+
+    return fn
+
+
 def bootstrap_replicates(
     df: DataFrame,
     outcome_col: str,
@@ -312,56 +358,73 @@ def bootstrap_replicates(
     id_col: str,
     n_boot: int = 250,
     seed: int = 42,
-    block_rows: int = 4096,
     group_cols: Sequence[str] = (),
+    num_partitions: int | None = None,
 ) -> DataFrame:
+    """AUUC of every bootstrap replicate (one row per group and replicate).
+
+    Rows are range-partitioned on (group, score desc, id) and sorted inside
+    each partition, so every Arrow batch is a contiguous slice of the
+    replicate order. A NumPy fold per batch draws the batch's rows x
+    replicates Poisson(1) weight matrix from a seeded 32-bit hash of the id
+    and turns it into per-replicate sums with prefix sums; only (batch x
+    replicate) partial sums are shuffled, never the n x n_boot expanded rows.
+    A window over the batches of a replicate (in score order) adds the
+    weight of all earlier batches, so the result is exact.
+    """
+    from pyspark.sql import types as T
+
+    from sparkexp.operators.ordering import _num_partitions
+
     base = df.select(
         *group_cols,
-        F.col(id_col).alias("_id"),
+        F.col(id_col).cast("long").alias("_id"),
         F.col(score_col).cast("double").alias("_score"),
         F.col(treatment_col).cast("int").alias("_t"),
         F.col(outcome_col).cast("int").alias("_y"),
     )
-    ranked = global_rank(base, _order("_score", "_id"), group_cols, "rank")
-    reps = F.sequence(F.lit(0), F.lit(n_boot - 1))
-    x = ranked.select(*group_cols, "_id", "rank", "_t", "_y", F.explode(reps).alias("rep"))
-    x = x.withColumn("w", poisson1_weight(seeded_uniform(seed, F.col("_id"), F.col("rep")))).where(F.col("w") > 0)
-    x = x.withColumn("block", F.floor((F.col("rank") - 1) / F.lit(block_rows)).cast("long"))
-    keys = [*group_cols, "rep"]
-    wb = Window.partitionBy(*keys, "block").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("q", F.coalesce(F.sum("w").over(wb), F.lit(0)))
-    # Sum of positions of the w copies of a row, relative to the block start:
-    # w*q + w*(w+1)/2
-    x = x.withColumn("pos_sum", F.col("w") * F.col("q") + F.col("w") * (F.col("w") + 1) / 2)
-    u = (F.col("_t") * F.col("_y")).cast("double")
-    v = ((F.lit(1) - F.col("_t")) * F.col("_y")).cast("double")
-    blocks = x.groupBy(*keys, "block").agg(
-        F.sum("w").alias("W"),
-        F.sum(F.col("w") * F.col("_t")).alias("WT"),
-        F.sum(F.col("w") * u).alias("Su"),
-        F.sum(F.col("w") * v).alias("Sv"),
-        F.sum(u * F.col("pos_sum")).alias("Tu"),
-        F.sum(v * F.col("pos_sum")).alias("Tv"),
-        F.min_by(u, F.col("rank")).alias("u1"),
-        F.min_by(v, F.col("rank")).alias("v1"),
+    n = _num_partitions(df, num_partitions)
+    keys = [*[F.col(g).asc_nulls_first() for g in group_cols], *_order("_score", "_id")]
+    x = base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    gfields = [f for f in df.select(*group_cols).schema.fields]
+    schema = T.StructType(
+        gfields
+        + [
+            T.StructField("rep", T.IntegerType()),
+            T.StructField("_first_score", T.DoubleType()),
+            T.StructField("_first_id", T.LongType()),
+            T.StructField("W", T.LongType()),
+            T.StructField("WT", T.LongType()),
+            T.StructField("Su", T.DoubleType()),
+            T.StructField("Sv", T.DoubleType()),
+            T.StructField("Tu", T.DoubleType()),
+            T.StructField("Tv", T.DoubleType()),
+            T.StructField("u1", T.DoubleType()),
+            T.StructField("v1", T.DoubleType()),
+        ]
     )
-    wr = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("P", F.coalesce(F.sum("W").over(wr), F.lit(0)))
-    rep = blocks.groupBy(*keys).agg(
+    chunks = x.mapInPandas(_bootstrap_chunk_fn(list(group_cols), n_boot, seed), schema)
+    rkeys = [*group_cols, "rep"]
+    corder = [F.col("_first_score").desc_nulls_last(), F.col("_first_id").asc()]
+    wr = Window.partitionBy(*rkeys).orderBy(*corder).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("P", F.coalesce(F.sum("W").over(wr), F.lit(0)))
+    # position of the chunk in score order, to find the first weighted row
+    chunks = chunks.withColumn("_ck", F.row_number().over(Window.partitionBy(*rkeys).orderBy(*corder)))
+    rep = chunks.groupBy(*rkeys).agg(
         F.sum("W").alias("n"),
         F.sum("WT").alias("nt"),
         F.sum("Su").alias("Su"),
         F.sum("Sv").alias("Sv"),
         F.sum(F.col("P") * F.col("Su") + F.col("Tu")).alias("PUu"),
         F.sum(F.col("P") * F.col("Sv") + F.col("Tv")).alias("PUv"),
-        F.min_by(F.struct("u1", "v1"), F.col("block")).alias("first"),
+        F.min_by(F.struct("u1", "v1"), F.when(F.col("u1").isNotNull() & ~F.isnan("u1"), F.col("_ck"))).alias("first"),
     )
-    n = F.col("n").cast("double")
-    p = F.greatest(F.least(F.col("nt") / n, F.lit(1 - CLIP)), F.lit(CLIP))
+    nn = F.col("n").cast("double")
+    p = F.greatest(F.least(F.col("nt") / nn, F.lit(1 - CLIP)), F.lit(CLIP))
     a, c = F.lit(1.0) / p, F.lit(1.0) / (F.lit(1.0) - p)
     g_n = F.col("Su") * a - F.col("Sv") * c
     # sum_i G_i = sum over copies inc * (n + 1 - pos)
-    sum_g = (n + 1) * g_n - (F.col("PUu") * a - F.col("PUv") * c)
+    sum_g = (nn + 1) * g_n - (F.col("PUu") * a - F.col("PUv") * c)
     g_1 = F.col("first.u1") * a - F.col("first.v1") * c
-    auuc_col = F.when(F.col("n") > 1, (sum_g - (g_1 + g_n) / 2) / n / n).otherwise(F.lit(0.0))
-    return rep.select(*keys, auuc_col.alias("auuc"))
+    auuc_col = F.when(F.col("n") > 1, (sum_g - (g_1 + g_n) / 2) / nn / nn).otherwise(F.lit(0.0))
+    return rep.select(*rkeys, auuc_col.alias("auuc"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkexp.functions.hashing import poisson1_weight_sql, seeded_uniform_sql
 from sparkexp.operators import uplift as up
 from sparkexp.plans.registry import register
 from sparkexp.plans.tables import EXPERIMENT_SQL, experiment
@@ -195,13 +194,27 @@ def q_arm_brier(spark, sf_dir):
 
 
 def _bootstrap_sql(n_boot: int, seed: int) -> str:
-    u = seeded_uniform_sql(seed, "unit_id", "rep")
-    w = poisson1_weight_sql(u)
+    from sparkexp.functions.hashing import MASK32, REP_SALT, h32_sql_stages, poisson1_cdf
+
+    def staged(base: str, src: str, out: str) -> str:
+        sql = base
+        for i, st in enumerate(h32_sql_stages(src, out)):
+            sql = f"SELECT *, {st} FROM ({sql}) AS _h{out}{i}"
+        return sql
+
+    seed_h = staged(f"SELECT {seed & MASK32}::UBIGINT AS sd", "sd", "sh")
+    rows = f"""SELECT unit_id, treatment, converted,
+                      row_number() OVER (ORDER BY score DESC NULLS LAST, unit_id) AS rnk,
+                      (unit_id & {MASK32})::UBIGINT AS lo, ((unit_id >> 32) & {MASK32})::UBIGINT AS hi
+               FROM ({EXPERIMENT_SQL}) AS e"""
+    b1 = staged(f"SELECT r.*, xor(r.lo, s.sh) AS k1 FROM ({rows}) AS r CROSS JOIN ({seed_h}) AS s", "k1", "b1")
+    b2 = staged(f"SELECT *, xor(b1, hi) AS k2 FROM ({b1}) AS x", "k2", "base")
+    salt = staged(f"SELECT rep, xor(rep::UBIGINT, {REP_SALT}::UBIGINT) AS r0 FROM range(0, {n_boot}) AS t(rep)", "r0", "salt")
+    pair = staged(f"SELECT b.unit_id, b.treatment, b.converted, b.rnk, s.rep, xor(b.base, s.salt) AS k3 FROM ({b2}) AS b CROSS JOIN ({salt}) AS s", "k3", "hv")
+    cdf = poisson1_cdf()
+    w = "(" + " + ".join(f"(CASE WHEN hv / 4294967296.0 >= {c!r} THEN 1 ELSE 0 END)" for c in cdf) + ")"
     return f"""
-WITH r AS (SELECT unit_id, treatment, converted,
-                  row_number() OVER (ORDER BY score DESC NULLS LAST, unit_id) AS rnk
-           FROM ({EXPERIMENT_SQL}) AS e),
-x AS (SELECT r.*, rep, {w} AS w FROM r CROSS JOIN range(0, {n_boot}) AS t(rep)),
+WITH x AS (SELECT unit_id, treatment, converted, rnk, rep, {w} AS w FROM ({pair}) AS pr),
 y AS (SELECT * FROM x WHERE w > 0),
 p AS (SELECT *, sum(w) OVER (PARTITION BY rep ORDER BY rnk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM y),
 s AS (SELECT rep, sum(w) AS n, sum(w * treatment) AS nt,
