@@ -39,25 +39,25 @@ AB_COLUMNS = [
 
 # ---------------------------------------------------------------- formulas (SQL text)
 
-def ab_formulas(alpha: float = 0.05) -> dict[str, str]:
-    """Statistics over columns n_control, n_treatment, control_success, treatment_success."""
+def ab_stages(alpha: float = 0.05) -> list[tuple[str, str]]:
+    """A/B statistics as ordered (column, SQL) stages over columns n_control,
+    n_treatment, control_success, treatment_success. Intermediate columns
+    start with '_' and keep every expression small (the normal tail refers
+    to its argument many times)."""
     z = repr(norm_ppf(1 - alpha / 2)) if alpha != 0.05 else repr(Z_975)
-    cr = "(CAST(control_success AS DOUBLE) / NULLIF(n_control, 0))"
-    tr = "(CAST(treatment_success AS DOUBLE) / NULLIF(n_treatment, 0))"
-    lift = f"({tr} - {cr})"
-    pooled = "(CAST(control_success + treatment_success AS DOUBLE) / NULLIF(n_control + n_treatment, 0))"
-    se0 = f"sqrt({pooled} * (1.0 - {pooled}) * (1.0 / NULLIF(n_treatment, 0) + 1.0 / NULLIF(n_control, 0)))"
-    zstat = f"({lift} / NULLIF({se0}, 0.0))"
-    se1 = f"sqrt({tr} * (1.0 - {tr}) / NULLIF(n_treatment, 0) + {cr} * (1.0 - {cr}) / NULLIF(n_control, 0))"
-    return {
-        "control_rate": cr,
-        "treatment_rate": tr,
-        "absolute_lift": lift,
-        "relative_lift": f"(CASE WHEN {cr} > 0 THEN {lift} / {cr} END)",
-        "ci_low": f"({lift} - {z} * {se1})",
-        "ci_high": f"({lift} + {z} * {se1})",
-        "p_value": two_sided_p_sql(zstat),
-    }
+    return [
+        ("control_rate", "(CAST(control_success AS DOUBLE) / NULLIF(n_control, 0))"),
+        ("treatment_rate", "(CAST(treatment_success AS DOUBLE) / NULLIF(n_treatment, 0))"),
+        ("absolute_lift", "(treatment_rate - control_rate)"),
+        ("relative_lift", "(CASE WHEN control_rate > 0 THEN absolute_lift / control_rate END)"),
+        ("_pooled", "(CAST(control_success + treatment_success AS DOUBLE) / NULLIF(n_control + n_treatment, 0))"),
+        ("_se0", "sqrt(_pooled * (1.0 - _pooled) * (1.0 / NULLIF(n_treatment, 0) + 1.0 / NULLIF(n_control, 0)))"),
+        ("_z", "(absolute_lift / NULLIF(_se0, 0.0))"),
+        ("_se1", "sqrt(treatment_rate * (1.0 - treatment_rate) / NULLIF(n_treatment, 0) + control_rate * (1.0 - control_rate) / NULLIF(n_control, 0))"),
+        ("ci_low", f"(absolute_lift - {z} * _se1)"),
+        ("ci_high", f"(absolute_lift + {z} * _se1)"),
+        ("p_value", two_sided_p_sql("_z")),
+    ]
 
 
 def power_stages(alpha: float = 0.05, target_power: float = 0.80, clip: float = 1e-6) -> list[tuple[str, str]]:
@@ -172,13 +172,7 @@ def ab_counts(
 
 
 def ab_from_counts(counts: DataFrame, group_cols: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
-    f = ab_formulas(alpha)
-    return counts.select(
-        *group_cols,
-        "n_control",
-        "n_treatment",
-        *[F.expr(f[k]).alias(k) for k in AB_COLUMNS[2:]],
-    )
+    return apply_stages(counts, ab_stages(alpha)).select(*group_cols, *AB_COLUMNS)
 
 
 def ab_test(

@@ -13,11 +13,16 @@ AB_DOUBLES = ["control_rate", "treatment_rate", "absolute_lift", "relative_lift"
 
 
 def _ab_sql(group_cols: list[str], source: str = "e", extra_where: str = "") -> str:
-    f = ex.ab_formulas()
+    g = ", ".join(group_cols)
+    gsel = f"{g}, " if g else ""
+    cols = f"{gsel}n_control, n_treatment, " + ", ".join(AB_DOUBLES)
+    return f"SELECT {cols} FROM ({ex.stages_sql(_counts_sql(group_cols, source, extra_where), ex.ab_stages())}) AS s"
+
+
+def _counts_sql(group_cols: list[str], source: str = "e", extra_where: str = "") -> str:
     g = ", ".join(group_cols)
     gsel = f"{g}, " if g else ""
     gby = f"GROUP BY {g}" if g else ""
-    stats = ", ".join(f"{f[k]} AS {k}" for k in AB_DOUBLES)
     return f"""
 WITH e AS ({EXPERIMENT_SQL}),
 c AS (
@@ -28,7 +33,7 @@ c AS (
          CAST(sum(CASE WHEN treatment = 1 THEN converted ELSE 0 END) AS BIGINT) AS treatment_success
   FROM {source} WHERE treatment IS NOT NULL AND converted IS NOT NULL {extra_where}
   {gby})
-SELECT {gsel} n_control, n_treatment, {stats} FROM c
+SELECT * FROM c
 """
 
 
@@ -53,8 +58,11 @@ def q_practical_significance(spark, sf_dir):
 
 
 def _segment_sql() -> str:
-    f = ex.ab_formulas()
-    stats = ", ".join(f"{f[k]} AS {k}" for k in AB_DOUBLES)
+    cols = "segment, segment_value, n_control, n_treatment, " + ", ".join(AB_DOUBLES)
+    return f"SELECT {cols} FROM ({ex.stages_sql(_segment_counts_sql(), ex.ab_stages())}) AS s"
+
+
+def _segment_counts_sql() -> str:
     return f"""
 WITH e AS ({EXPERIMENT_SQL}),
 l AS (
@@ -70,8 +78,7 @@ c AS (
          CAST(sum(CASE WHEN treatment = 1 THEN converted ELSE 0 END) AS BIGINT) AS treatment_success
   FROM l WHERE treatment IS NOT NULL AND converted IS NOT NULL
   GROUP BY segment, segment_value)
-SELECT segment, segment_value, n_control, n_treatment, {stats}
-FROM c WHERE n_control > 0 AND n_treatment > 0
+SELECT * FROM c WHERE n_control > 0 AND n_treatment > 0
 """
 
 
