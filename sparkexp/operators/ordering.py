@@ -135,8 +135,8 @@ def exact_quantiles(
         "_n",
         "q_index",
         "prob",
-        # NumPy's virtual index for method 'linear': n*q + (1 - q) - 1
-        (F.col("_n") * F.col("prob") + (F.lit(1.0) - F.col("prob")) - F.lit(1.0)).alias("_h"),
+        # NumPy's virtual index for method 'linear': (n - 1) * q
+        ((F.col("_n") - 1).cast("double") * F.col("prob")).alias("_h"),
     ).select(
         "*",
         (F.floor("_h") + 1).cast("long").alias("_lo"),

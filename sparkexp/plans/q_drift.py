@@ -39,7 +39,7 @@ WITH e AS (SELECT * FROM ({_unpivot_sql(exp_src, cols)}) AS x WHERE v IS NOT NUL
 a AS (SELECT * FROM ({_unpivot_sql(act_src, cols)}) AS x WHERE v IS NOT NULL AND NOT isnan(v)),
 r AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS rk, count(*) OVER (PARTITION BY feature) AS n FROM e),
 q AS (SELECT * FROM (VALUES {probs}) AS t(qi, prob)),
-t AS (SELECT f.feature, f.n, q.qi, f.n * q.prob + (1.0 - q.prob) - 1.0 AS h
+t AS (SELECT f.feature, f.n, q.qi, CAST(f.n - 1 AS DOUBLE) * q.prob AS h
       FROM (SELECT DISTINCT feature, n FROM r) AS f CROSS JOIN q),
 t2 AS (SELECT *, CAST(floor(h) AS BIGINT) + 1 AS lo, least(CAST(floor(h) AS BIGINT) + 2, n) AS hi, h - floor(h) AS frac FROM t),
 ev AS (SELECT t2.feature,
