@@ -137,8 +137,9 @@ def build_preprocessor(
         ohe = OneHotEncoder(
             inputCols=[c + "__idx" for c in categorical_cols],
             outputCols=[c + "__ohe" for c in categorical_cols],
+            # the indexer's metadata has k labels + '__unknown'; dropping the
+            # last slot leaves k columns and all zeros for unseen levels
             dropLast=True,
-            handleInvalid="keep",
         )
         ohe_model = ohe.fit(idx_model.transform(prepared))
         stages += [idx_model, ohe_model]
