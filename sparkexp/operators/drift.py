@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,12 +37,18 @@ def psi_edges(expected: DataFrame, cols: Sequence[str], bins: int = 10, group_co
     return q.groupBy(*_keys(group_cols)).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
 
 
-def _bin_of(v: Column, edges: Column) -> Column:
-    """np.histogram bin of ``v``: [e_i, e_i+1), last bin closed; NULL if outside."""
+def _bin_of(v: Column, edges: Column, max_edges: int) -> Column:
+    """np.histogram bin of ``v``: [e_i, e_i+1), last bin closed; NULL if outside.
+
+    Counts the edges <= v with one comparison per edge slot (codegen'd; no
+    per-row lambda)."""
     nb = F.size(edges) - 1
-    le = F.size(F.filter(edges, lambda e: e <= v)) - 1
+    le = None
+    for i in range(1, max_edges + 1):
+        t = F.when(F.try_element_at(edges, F.lit(i)) <= v, F.lit(1)).otherwise(F.lit(0))
+        le = t if le is None else le + t
     inside = (v >= F.element_at(edges, 1)) & (v <= F.element_at(edges, -1))
-    return F.when(inside, F.least(le, nb - 1))
+    return F.when(inside, F.least(le - 1, nb - 1))
 
 
 def population_stability_index(
@@ -59,18 +66,23 @@ def population_stability_index(
     Values of the actual side outside the expected range are ignored.
     """
     keys = _keys(group_cols)
-    edges = psi_edges(expected, cols, bins, group_cols).where(F.size("edges") >= 3)
-    # one row per (group, feature) with at most bins+1 edges: bounded by feature count
+    # one row per (group, feature) with at most bins+1 edges (bounded by the
+    # feature count when ungrouped); materialised once, then broadcast
+    edges = psi_edges(expected, cols, bins, group_cols).where(F.size("edges") >= 3).persist(StorageLevel.MEMORY_AND_DISK)
+    edges.count()
     e_long = _numeric_long(expected, cols, group_cols)
     a_long = _numeric_long(actual, cols, group_cols)
 
     def counts(long: DataFrame, name: str) -> DataFrame:
-        j = long.join(F.broadcast(edges), keys, "inner") if not group_cols else long.join(edges, keys, "inner")
-        b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges")).alias("bin")).where(F.col("bin").isNotNull())
-        return b.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias(name))
+        # left join: rows of features without usable edges still count as
+        # non-empty input (bin NULL), so one aggregate gives bins and totals
+        j = long.join(F.broadcast(edges), keys, "left") if not group_cols else long.join(edges, keys, "left")
+        b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges"), bins + 1).alias("bin"))
+        return b.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias(name)).persist(StorageLevel.MEMORY_AND_DISK)
 
     all_bins = edges.select(*keys, F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
-    e_cnt, a_cnt = counts(e_long, "_e"), counts(a_long, "_a")
+    e_all, a_all = counts(e_long, "_e"), counts(a_long, "_a")
+    e_cnt, a_cnt = e_all.where(F.col("bin").isNotNull()), a_all.where(F.col("bin").isNotNull())
     m = all_bins.join(e_cnt, [*keys, "bin"], "left").join(a_cnt, [*keys, "bin"], "left")
     m = m.select(*keys, "bin", F.coalesce("_e", F.lit(0)).alias("_e"), F.coalesce("_a", F.lit(0)).alias("_a"))
     w = Window.partitionBy(*keys)
@@ -93,8 +105,8 @@ def population_stability_index(
     feats = spark.createDataFrame([(c,) for c in cols], "feature string")
     if group_cols:
         feats = expected.select(*group_cols).distinct().crossJoin(F.broadcast(feats))
-    e_n = e_long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ne"))
-    a_n = a_long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_na"))
+    e_n = e_all.groupBy(*keys).agg(F.sum("_e").alias("_ne"))
+    a_n = a_all.groupBy(*keys).agg(F.sum("_a").alias("_na"))
     out = feats.join(psi, keys, "left").join(e_n, keys, "left").join(a_n, keys, "left")
     ok = (F.coalesce("_ne", F.lit(0)) > 0) & (F.coalesce("_na", F.lit(0)) > 0)
     return out.select(*keys, F.when(ok, F.col("_psi")).alias("psi"))

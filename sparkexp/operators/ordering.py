@@ -119,16 +119,22 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (NumPy's default method).
 
-    Long output: (group..., feature, q_index, prob, value). Values are unpivoted,
-    ranked per (group, feature) by a distributed sort, and only the two rows
-    around each target position are kept, so nothing is buffered per group.
+    Long output: (group..., feature, q_index, prob, value). Values are
+    unpivoted and collapsed to (value, count) per (group, feature) — repeats
+    are merged map-side before any shuffle — then the distinct values are
+    ranked by the distributed sort with running counts. Each distinct value
+    covers the row positions (cum - count, cum]; the at most 2 x len(probs)
+    target positions per feature (a bounded array joined to every distinct
+    value) pick the two values around each quantile. Nothing is buffered per
+    group.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_v")) for c in value_cols])
     long = df.select(*group_cols, F.inline(pairs)).where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
     keys = [*group_cols, "feature"]
-    # Tie key: the value itself suffices because equal values are interchangeable.
-    ranked = global_rank(long, [F.col("_v").asc()], keys, "_r", num_partitions=num_partitions)
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # reduced data, read by the range sampler, the ranking and the counts
+    dist = long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    cum = global_rank(dist, [F.col("_v").asc()], keys, "_r", sum_cols=["_c"], num_partitions=num_partitions)
+    counts = dist.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     qs = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
     targets = counts.crossJoin(F.broadcast(qs)).select(
         *keys,
@@ -142,11 +148,28 @@ def exact_quantiles(
         (F.floor("_h") + 1).cast("long").alias("_lo"),
         F.least(F.floor("_h") + 2, F.col("_n")).cast("long").alias("_hi"),
     )
-    need = targets.select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")).distinct()
-    picked = ranked.join(need, [*keys, "_r"], "left_semi").select(*keys, "_r", "_v")
-    lo = picked.select(*keys, F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = picked.select(*keys, F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = targets.join(lo, [*keys, "_lo"], "left").join(hi, [*keys, "_hi"], "left")
+    # one row per (group, feature) holding its <= len(probs) targets
+    tarr = targets.groupBy(*keys).agg(F.collect_list(F.struct("q_index", "_lo", "_hi")).alias("_t"))
+    j = cum.join(F.broadcast(tarr), keys, "inner") if not group_cols else cum.join(tarr, keys, "inner")
+    start = F.col("_c_cum") - F.col("_c")
+
+    def covers(t, pos: str):
+        return (t[pos] > start) & (t[pos] <= F.col("_c_cum"))
+
+    # one pass over the ranked distinct values: every target position that a
+    # value covers, as the low and/or high neighbour of its quantile
+    vals = (
+        j.select(*keys, "_v", "_c", "_c_cum", F.explode(F.filter("_t", lambda t: covers(t, "_lo") | covers(t, "_hi"))).alias("_x"))
+        .select(
+            *keys,
+            F.col("_x.q_index").alias("q_index"),
+            F.when(covers(F.col("_x"), "_lo"), F.col("_v")).alias("_l"),
+            F.when(covers(F.col("_x"), "_hi"), F.col("_v")).alias("_u"),
+        )
+        .groupBy(*keys, "q_index")
+        .agg(F.max("_l").alias("_vlo"), F.max("_u").alias("_vhi"))
+    )
+    res = targets.join(vals, [*keys, "q_index"], "left")
     frac = F.col("_h") - F.floor("_h")
     # NumPy's lerp: a + (b-a)*t, or b - (b-a)*(1-t) when t >= 0.5
     diff = F.col("_vhi") - F.col("_vlo")
