@@ -157,3 +157,28 @@ def test_leaderboard_ranks_and_winner(spark):
     assert sum(r.is_winner for r in sel.values()) == 1
     assert not sel["c"].is_winner
     assert sel["a"]._guardrail_pass  # p95 30 <= 40, PR 0.6 >= 0.45, Brier 0.1 <= 0.3
+
+
+def test_gaussian_discriminant_matches_numpy(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from sparkexp.operators.discriminant import GaussianDiscriminant
+
+    rng = np.random.default_rng(11)
+    n, d = 600, 3
+    y = (rng.random(n) < 0.4).astype(int)
+    x = rng.normal(size=(n, d)) + y[:, None] * np.array([1.0, -0.5, 0.2])
+    pdf = pd.DataFrame({"label": y.astype(float), "arr": list(x)})
+    df = spark.createDataFrame(pdf).withColumn("features", array_to_vector("arr"))
+    m = GaussianDiscriminant("linear").fit(df)
+    got = np.array([r.probability[1] for r in m.transform(df).collect()])
+    mu = [x[y == k].mean(axis=0) for k in (0, 1)]
+    pooled = sum(((x[y == k] - mu[k]).T @ (x[y == k] - mu[k])) for k in (0, 1)) / (n - 2)
+    prec = np.linalg.inv(pooled)
+    w = prec @ (mu[1] - mu[0])
+    b = -0.5 * (mu[1] + mu[0]) @ w + np.log(y.mean() / (1 - y.mean()))
+    want = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.allclose(got, want, rtol=1e-7, atol=1e-9)
+    q = GaussianDiscriminant("quadratic", reg_param=0.1).fit(df)
+    pq = np.array([r.probability[1] for r in q.transform(df).collect()])
+    assert ((pq >= 0) & (pq <= 1)).all()
