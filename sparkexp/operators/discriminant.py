@@ -2,12 +2,13 @@
 aggregation — ``pyspark.ml`` has neither.
 
 Fit: one aggregate computes, per class, the row count, the sum of the
-feature vector and the sum of its outer product (d + d^2 sums for d
-features, partial-aggregated before the shuffle, so the shuffle carries two
-rows per partition). The d x d algebra (pooled or per-class covariance,
+feature vector and the sum of the upper triangle of its outer product (two
+vector sums, partial-aggregated before the shuffle, so the shuffle carries
+two rows per partition). The d x d algebra (pooled or per-class covariance,
 inverse, log-determinant) runs on the driver on that tiny result. Scoring is
-column arithmetic over ``vector_to_array(features)``: a dot product for LDA,
-a quadratic form for QDA, then the logistic of the log-odds; the output is a
+higher-order array functions over ``vector_to_array(features)`` and
+constant-folded literal arrays: a dot product for LDA, a quadratic form for
+QDA (so the generated code does not grow with d), then the logistic of the log-odds; the output is a
 ``probability`` vector like the built-in classifiers produce.
 """
 
@@ -17,33 +18,52 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def _moments(df: DataFrame, features_col: str, label_col: str, d: int) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+    # Two vector-valued aggregates instead of d + d(d+1)/2 scalar sums: the
+    # upper triangle of x x^T is built as one array per row and summed by
+    # ``Summarizer`` (partial aggregation per task, constant generated-code
+    # size whatever d is).
     x = vector_to_array(F.col(features_col))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(d)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
-    rows = df.groupBy(F.col(label_col).cast("int").alias("_k")).agg(*aggs).collect()  # one row per class
+    tri = F.expr(
+        f"flatten(transform(sequence(0, {d - 1}), i -> "
+        f"transform(sequence(i, {d - 1}), j -> _x[i] * _x[j])))"
+    )
+    base = df.select(F.col(label_col).cast("int").alias("_k"), x.alias("_x"))
+    base = base.select("_k", array_to_vector("_x").alias("_v"), array_to_vector(tri).alias("_q"))
+    rows = (
+        base.groupBy("_k")
+        .agg(
+            Summarizer.count(F.col("_v")).alias("n"),
+            Summarizer.sum(F.col("_v")).alias("s"),
+            Summarizer.sum(F.col("_q")).alias("q"),
+        )
+        .collect()
+    )  # one row per class
+    iu = np.triu_indices(d)
     out = {}
     for r in rows:
-        s = np.array([r[f"s{i}"] for i in range(d)], dtype=float)
+        s = r["s"].toArray().astype(float)
         q = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                q[i, j] = q[j, i] = r[f"q{i}_{j}"]
+        q[iu] = r["q"].toArray()
+        q = q + np.triu(q, 1).T
         out[int(r["_k"])] = (float(r["n"]), s, q)
     return out
 
 
-def _dot(arr: Column, w: np.ndarray) -> Column:
-    expr = None
-    for i, wi in enumerate(w):
-        t = arr[i] * F.lit(float(wi))
-        expr = t if expr is None else expr + t
-    return expr if expr is not None else F.lit(0.0)
+def _lit_array(v: np.ndarray) -> Column:
+    # all-literal arrays are constant-folded into one array literal
+    return F.array(*[F.lit(float(x)) for x in v])
+
+
+def _dot(a: Column, b: Column) -> Column:
+    """Dot product of two equal-length double arrays as higher-order
+    functions: generated-code size does not depend on their length."""
+    return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda acc, t: acc + t)
 
 
 @dataclass
@@ -61,18 +81,14 @@ class GaussianDiscriminantModel:
             p, m0, m1 = self.precisions[0], self.means[0], self.means[1]
             w = p @ (m1 - m0)
             b = -0.5 * float((m1 + m0) @ w) + self.log_priors[1] - self.log_priors[0]
-            return _dot(arr, w) + F.lit(b)
+            return _dot(arr, _lit_array(w)) + F.lit(b)
         terms = []
         for k in (0, 1):
             p, m = self.precisions[k], self.means[k]
-            d = len(m)
-            centred = [arr[i] - F.lit(float(m[i])) for i in range(d)]
-            quad = None
-            for i in range(d):
-                for j in range(i, d):
-                    coef = p[i, j] * (1.0 if i == j else 2.0)
-                    t = centred[i] * centred[j] * F.lit(float(coef))
-                    quad = t if quad is None else quad + t
+            centred = F.zip_with(arr, _lit_array(m), lambda u, v: u - v)
+            rows = F.array(*[_lit_array(r) for r in p])
+            pc = F.transform(rows, lambda r: _dot(r, centred))  # P (x - m)
+            quad = _dot(centred, pc)
             terms.append(F.lit(-0.5 * self.log_dets[k] + self.log_priors[k]) - F.lit(0.5) * quad)
         return terms[1] - terms[0]
 

@@ -182,3 +182,10 @@ def test_gaussian_discriminant_matches_numpy(spark):
     q = GaussianDiscriminant("quadratic", reg_param=0.1).fit(df)
     pq = np.array([r.probability[1] for r in q.transform(df).collect()])
     assert ((pq >= 0) & (pq <= 1)).all()
+    lg = []
+    for k in (0, 1):
+        xc = x[y == k] - mu[k]
+        c = 0.9 * (xc.T @ xc) / (len(xc) - 1) + 0.1 * np.eye(d)
+        p = np.linalg.inv(c)
+        lg.append(-0.5 * np.linalg.slogdet(c)[1] + np.log((y == k).mean()) - 0.5 * np.einsum("ni,ij,nj->n", x - mu[k], p, x - mu[k]))
+    assert np.allclose(pq, 1 / (1 + np.exp(-(lg[1] - lg[0]))), rtol=1e-6, atol=1e-9)
