@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkexp.operators.joins import join_per_group
 from sparkexp.operators.ordering import global_rank
 
 FP_COST = 65.0
@@ -211,7 +212,7 @@ def evaluate_classifier(
     """Threshold chosen on ``valid`` by the cost sweep, metrics on ``test``:
     cost per 1000, PR-AUC (AP), ROC AUC, Brier, balanced accuracy, F1."""
     thr = best_threshold(threshold_sweep(valid, label_col, prob_col, group_cols, None, fp_cost, fn_cost), group_cols)
-    t = test.join(F.broadcast(thr), list(group_cols), "inner") if group_cols else test.crossJoin(F.broadcast(thr))
+    t = join_per_group(test, thr, group_cols)
     pred = (F.col(prob_col) >= F.col("threshold")).cast("int")
     y = F.col(label_col).cast("int")
     cm = t.groupBy(*group_cols).agg(

@@ -260,3 +260,40 @@ def q_clean_churn(spark, sf_dir):
         F.expr("CASE o_orderstatus WHEN 'F' THEN ' yes ' WHEN 'O' THEN 'No' ELSE 'maybe' END").alias("Churn"),
     )
     return cl.clean_churn_frame(raw)
+
+
+# ---------------------------------------------------------------- the three score transforms, one key each
+
+@register(
+    "clip",
+    """SELECT l_orderkey, l_linenumber, greatest(least(l_discount * 10.0 - 0.2, 1 - 1e-6), 1e-6) AS clipped
+       FROM lineitem""",
+    ["clipped"],
+)
+def q_clip(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", S.clip(F.col("l_discount") * 10.0 - 0.2).alias("clipped"))
+
+
+@register(
+    "sigmoid_score",
+    """SELECT l_orderkey, l_linenumber,
+         1.0 / (1.0 + exp(-greatest(least((l_extendedprice - 50000.0) / 2000.0, 20.0), -20.0))) AS sigmoid_score
+       FROM lineitem""",
+    ["sigmoid_score"],
+)
+def q_sigmoid(spark, sf_dir):
+    """Decision value -> probability, decision value clipped to +-20 first."""
+    li = load(spark, sf_dir, "lineitem")
+    z = (F.col("l_extendedprice") - 50000.0) / 2000.0
+    return li.select("l_orderkey", "l_linenumber", S.sigmoid(z, clip_at=20).alias("sigmoid_score"))
+
+
+@register(
+    "threshold_label",
+    "SELECT l_orderkey, l_linenumber, CAST(l_quantity / 50.0 >= 0.5 AS INTEGER) AS label FROM lineitem",
+)
+def q_threshold_label(spark, sf_dir):
+    """Inclusive cut: quantity 25 gives exactly 0.5 and is labelled 1."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", S.threshold_label(F.col("l_quantity") / 50.0, 0.5).alias("label"))

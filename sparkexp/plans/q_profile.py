@@ -171,3 +171,68 @@ def _corr_sql() -> str:
 @register("correlation_matrix", _corr_sql(), ["corr"])
 def q_corr(spark, sf_dir):
     return pr.correlation_matrix(experiment(spark, sf_dir), ["o_totalprice", "c_acctbal", "c_nationkey", "converted"])
+
+
+# ---------------------------------------------------------------- row-level splits and folds
+
+def _lineitem_labelled(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+    )
+
+
+def _row_split_sql(src: str, strata: str, id_col: str, names: tuple[str, str, str], cols: str) -> str:
+    from sparkexp.functions.hashing import seeded_uniform_sql
+
+    h = seeded_uniform_sql(42, id_col)
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY {h}, {id_col}) AS rk,
+                  count(*) OVER (PARTITION BY {strata}) AS c FROM ({src}) AS t)
+SELECT {cols}, CASE WHEN rk <= round(c * 0.2) THEN '{names[2]}'
+                    WHEN rk <= round(c * 0.2) + round((c - round(c * 0.2)) * 0.25) THEN '{names[1]}'
+                    ELSE '{names[0]}' END AS split
+FROM r"""
+
+
+_LI_LABELLED_SQL = "SELECT l_orderkey * 8 + l_linenumber AS row_id, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem"
+
+
+@register(
+    "stratified_split_churn",
+    _row_split_sql(_LI_LABELLED_SQL, "label", "row_id", ("train", "valid", "test"), "row_id, label"),
+)
+def q_split_churn(spark, sf_dir):
+    """Every lineitem row gets train / valid / test (0.6 / 0.2 / 0.2),
+    stratified by the label, exact per-stratum counts."""
+    return stratified_split(_lineitem_labelled(spark, sf_dir), ["label"], "row_id", 0.2, 0.2, 42)
+
+
+@register(
+    "stratified_split_uplift",
+    _row_split_sql(EXPERIMENT_SQL, "treatment, converted", "unit_id", ("train", "valid", "holdout"),
+                   "unit_id, treatment, converted"),
+)
+def q_split_uplift(spark, sf_dir):
+    """Every experiment unit gets train / valid / holdout, stratified by
+    treatment x outcome."""
+    return _split(spark, sf_dir).select("unit_id", "treatment", "converted", "split")
+
+
+def _folds_sql() -> str:
+    from sparkexp.functions.hashing import seeded_uniform_sql
+
+    h = seeded_uniform_sql(42, "unit_id")
+    return f"""SELECT unit_id, converted,
+  CAST((row_number() OVER (PARTITION BY converted ORDER BY {h}, unit_id) - 1) % 3 AS INTEGER) AS fold
+FROM ({EXPERIMENT_SQL}) AS e"""
+
+
+@register("stratified_folds", _folds_sql())
+def q_folds(spark, sf_dir):
+    """Shuffled 3-fold assignment stratified by outcome."""
+    from sparkexp.operators.sampling import stratified_folds
+
+    e = experiment(spark, sf_dir).select("unit_id", "converted")
+    return stratified_folds(e, ["converted"], "unit_id", 3, 42)
