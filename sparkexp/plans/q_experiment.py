@@ -262,7 +262,28 @@ def q_decision(spark, sf_dir):
     return ex.decision_recommendation(ab.join(pol, "o_orderpriority"))
 
 
-@register("experiment_summary")
+def _summary_sql() -> str:
+    f = ex.decision_formulas()
+    from sparkexp.plans.q_uplift import policies_sql
+
+    staged = ex.stages_sql(_ab_sql(["c_mktsegment"]), ex.power_stages())
+    return f"""
+WITH ab AS (SELECT *, 0.05 AS alpha, 0.8 AS target_power FROM ({staged}) AS a),
+pol AS ({policies_sql(['c_mktsegment'], 0.30)}),
+j AS (SELECT ab.*, pol.expected_incremental_value_blanket AS value_blanket,
+             pol.expected_incremental_value_targeted AS value_targeted
+      FROM ab JOIN pol USING (c_mktsegment))
+SELECT *, {f['decision']} AS decision, {f['rationale']} AS rationale,
+       '[' || printf('%.4f', ci_low) || ', ' || printf('%.4f', ci_high) || ']' AS ab_ci
+FROM j
+"""
+
+
+@register(
+    "experiment_summary",
+    _summary_sql(),
+    AB_DOUBLES + ["baseline_rate", "effect_size_h", "observed_power", "alpha", "target_power", "value_blanket", "value_targeted"],
+)
 def q_experiment_summary(spark, sf_dir):
     return ex.experiment_summary(
         experiment(spark, sf_dir), "treatment", "converted", "score", "unit_id", ["c_mktsegment"]
