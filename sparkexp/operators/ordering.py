@@ -24,19 +24,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkexp.operators.joins import join_per_group
 from sparkexp.session import cut_lineage
 
 _POS_MASK = (1 << 33) - 1
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
@@ -94,11 +87,10 @@ def global_rank(
         *[F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
     )
     # At most one row per (partition, group): bounded by the partition count
-    # when ungrouped, so broadcasting it is safe; grouped, AQE decides.
+    # when ungrouped, so broadcasting it is safe; grouped, it is broadcast
+    # after a row-count check (else a null-safe shuffle join).
     if group_cols:
-        s = stats.alias("_st")
-        j = ranged.join(s, _null_safe_on(ranged, s, ["_pid", *group_cols]), "inner")
-        j = j.select(ranged["*"], s["_first"], s["_off"], *[s[f"_o_{c}"] for c in sum_cols])
+        j = join_per_group(ranged, stats, ["_pid", *group_cols])
     else:
         j = ranged.join(F.broadcast(stats), "_pid", "inner")
     out = j.withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(1))
@@ -150,7 +142,7 @@ def exact_quantiles(
     )
     # one row per (group, feature) holding its <= len(probs) targets
     tarr = targets.groupBy(*keys).agg(F.collect_list(F.struct("q_index", "_lo", "_hi")).alias("_t"))
-    j = cum.join(F.broadcast(tarr), keys, "inner") if not group_cols else cum.join(tarr, keys, "inner")
+    j = cum.join(F.broadcast(tarr), keys, "inner") if not group_cols else join_per_group(cum, tarr, keys)
     start = F.col("_c_cum") - F.col("_c")
 
     def covers(t, pos: str):

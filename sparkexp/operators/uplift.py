@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkexp.operators.joins import join_per_group
 from sparkexp.operators.ordering import global_rank
 
 CLIP = 1e-6
@@ -30,10 +31,9 @@ def _order(score_col: str, id_col: str) -> list[Column]:
 
 
 def _join_small(big: DataFrame, small: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    # ``small`` has one row per group; ungrouped it is one row.
-    if group_cols:
-        return big.join(small, list(group_cols), "inner")
-    return big.crossJoin(F.broadcast(small))
+    # ``small`` has one row per group (ungrouped: one row); broadcast after a
+    # size check instead of shuffling ``big`` on a low-cardinality key
+    return join_per_group(big, small, group_cols)
 
 
 def ranked_increments(
