@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkexp.operators.ordering import exact_quantiles
+from sparkexp.operators.ordering import quantiles_from_counts
 
 EPSILON = 1e-6
 HIGH, MEDIUM = 0.20, 0.10
@@ -30,10 +30,28 @@ def _numeric_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str])
     return df.select(*group_cols, F.inline(pairs)).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def psi_edges(expected: DataFrame, cols: Sequence[str], bins: int = 10, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Unique decile edges of the expected side (NumPy 'linear' quantiles)."""
+def _value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
+    """(group..., feature, _v, _c): distinct usable values and their row
+    counts; repeats are merged map-side before the shuffle."""
+    long = _numeric_long(df, cols, group_cols)
+    return long.groupBy(*_keys(group_cols), "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def psi_edges(
+    expected: DataFrame,
+    cols: Sequence[str],
+    bins: int = 10,
+    group_cols: Sequence[str] = (),
+    value_counts: DataFrame | None = None,
+) -> DataFrame:
+    """Unique decile edges of the expected side (NumPy 'linear' quantiles).
+    ``value_counts`` (from ``_value_counts``) saves a pass when the caller
+    already has it."""
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(expected, cols, probs, group_cols)
+    dist = value_counts if value_counts is not None else _value_counts(expected, cols, group_cols).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    q = quantiles_from_counts(dist, _keys(group_cols), probs, group_cols)
     return q.groupBy(*_keys(group_cols)).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
 
 
@@ -66,22 +84,26 @@ def population_stability_index(
     Values of the actual side outside the expected range are ignored.
     """
     keys = _keys(group_cols)
+    # The expected side is read once: its (value, count) table feeds both the
+    # exact deciles and the expected bin counts.
+    e_dist = _value_counts(expected, cols, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
     # one row per (group, feature) with at most bins+1 edges (bounded by the
     # feature count when ungrouped); materialised once, then broadcast
-    edges = psi_edges(expected, cols, bins, group_cols).where(F.size("edges") >= 3).persist(StorageLevel.MEMORY_AND_DISK)
+    edges = psi_edges(expected, cols, bins, group_cols, e_dist).where(F.size("edges") >= 3).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     edges.count()
-    e_long = _numeric_long(expected, cols, group_cols)
-    a_long = _numeric_long(actual, cols, group_cols)
+    a_long = _numeric_long(actual, cols, group_cols).withColumn("_c", F.lit(1))
 
-    def counts(long: DataFrame, name: str) -> DataFrame:
-        # left join: rows of features without usable edges still count as
+    def counts(vals: DataFrame, name: str) -> DataFrame:
+        # left join: values of features without usable edges still count as
         # non-empty input (bin NULL), so one aggregate gives bins and totals
-        j = long.join(F.broadcast(edges), keys, "left") if not group_cols else long.join(edges, keys, "left")
-        b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges"), bins + 1).alias("bin"))
-        return b.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias(name)).persist(StorageLevel.MEMORY_AND_DISK)
+        j = vals.join(F.broadcast(edges), keys, "left") if not group_cols else vals.join(edges, keys, "left")
+        b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges"), bins + 1).alias("bin"), "_c")
+        return b.groupBy(*keys, "bin").agg(F.sum("_c").alias(name)).persist(StorageLevel.MEMORY_AND_DISK)
 
     all_bins = edges.select(*keys, F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
-    e_all, a_all = counts(e_long, "_e"), counts(a_long, "_a")
+    e_all, a_all = counts(e_dist, "_e"), counts(a_long, "_a")
     e_cnt, a_cnt = e_all.where(F.col("bin").isNotNull()), a_all.where(F.col("bin").isNotNull())
     m = all_bins.join(e_cnt, [*keys, "bin"], "left").join(a_cnt, [*keys, "bin"], "left")
     m = m.select(*keys, "bin", F.coalesce("_e", F.lit(0)).alias("_e"), F.coalesce("_a", F.lit(0)).alias("_a"))

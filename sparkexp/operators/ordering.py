@@ -125,9 +125,22 @@ def exact_quantiles(
     keys = [*group_cols, "feature"]
     # reduced data, read by the range sampler, the ranking and the counts
     dist = long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    return quantiles_from_counts(dist, keys, probs, group_cols, num_partitions)
+
+
+def quantiles_from_counts(
+    dist: DataFrame,
+    keys: Sequence[str],
+    probs: Sequence[float],
+    group_cols: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """``exact_quantiles`` over an already collapsed (keys..., _v, _c) table
+    of distinct non-NaN values and their row counts."""
+    keys = list(keys)
     cum = global_rank(dist, [F.col("_v").asc()], keys, "_r", sum_cols=["_c"], num_partitions=num_partitions)
     counts = dist.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    qs = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
+    qs = dist.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "q_index int, prob double")
     targets = counts.crossJoin(F.broadcast(qs)).select(
         *keys,
         "_n",
