@@ -7,6 +7,11 @@ stability.
 Each fit is a distributed Spark job; the Python loops only walk the small
 space of families, folds, trials and seeds. Feature vectors are prepared
 once per split and persisted, then reused by every estimator.
+
+The sweep rankings and search summaries order result tables with one row
+per model family, candidate or trial (tens of rows, independent of the data
+size), so their unpartitioned ``Window.orderBy`` runs in one task by design;
+data-sized orderings use ``ordering.global_rank``.
 """
 
 from __future__ import annotations
