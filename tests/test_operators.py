@@ -203,3 +203,20 @@ def test_join_per_group_both_paths_and_null_keys(spark):
         assert sorted(tuple(r) for r in out.collect()) == want
     one = spark.createDataFrame([(7,)], "t int")
     assert sorted(r.t for r in join_per_group(big, one, []).collect()) == [7] * 5
+
+
+def test_stratified_split_keeps_null_stratum_with_exact_counts(spark):
+    from sparkexp.operators.sampling import stratified_split
+
+    rows = [(i, None if i % 5 == 0 else ("hot" if i % 3 else "cold")) for i in range(1, 401)]
+    df = spark.createDataFrame(rows, "id int, s string")
+    out = stratified_split(df, ["s"], "id", 0.2, 0.2, 7)
+    got = {(r.s, r.split): r["count"] for r in out.groupBy("s", "split").count().collect()}
+    assert out.count() == 400
+    for s in (None, "hot", "cold"):
+        c = sum(1 for _, x in rows if x == s)
+        n_test = math.floor(c * 0.2 + 0.5)  # SQL round: half up
+        n_valid = math.floor((c - n_test) * 0.25 + 0.5)
+        assert got.get((s, "test"), 0) == n_test
+        assert got.get((s, "valid"), 0) == n_valid
+        assert got.get((s, "train"), 0) == c - n_test - n_valid
