@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkexp.operators.joins import join_per_group
 from sparkexp.operators.ordering import quantiles_from_counts
 
 EPSILON = 1e-6
@@ -98,7 +99,10 @@ def population_stability_index(
     def counts(vals: DataFrame, name: str) -> DataFrame:
         # left join: values of features without usable edges still count as
         # non-empty input (bin NULL), so one aggregate gives bins and totals
-        j = vals.join(F.broadcast(edges), keys, "left") if not group_cols else vals.join(edges, keys, "left")
+        if group_cols:  # one row per (group, feature): size-checked broadcast
+            j = join_per_group(vals, edges, keys, how="left")
+        else:  # one row per feature
+            j = vals.join(F.broadcast(edges), keys, "left")
         b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges"), bins + 1).alias("bin"), "_c")
         return b.groupBy(*keys, "bin").agg(F.sum("_c").alias(name)).persist(StorageLevel.MEMORY_AND_DISK)
 

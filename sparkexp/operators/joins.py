@@ -22,10 +22,17 @@ BROADCAST_MAX_ROWS = 100_000
 
 
 def join_per_group(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    max_rows: int = BROADCAST_MAX_ROWS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner-join ``small`` (one row per key) onto ``big``; output keeps
+    """Join ``small`` (one row per key) onto ``big`` (``how``: ``inner`` or
+    ``left``; without keys it is the one-row cross join); output keeps
     ``big``'s columns, then ``small``'s non-key columns."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     if not keys:
         # one row: a 1-row broadcast
@@ -39,4 +46,4 @@ def join_per_group(
         e = F.col(f"_b.{k}").eqNullSafe(F.col(f"_g.{k}"))
         cond = e if cond is None else cond & e
     rest = [c for c in small.columns if c not in keys]
-    return b.join(s, cond, "inner").select(*[F.col(f"_b.{c}") for c in big.columns], *[F.col(f"_g.{c}") for c in rest])
+    return b.join(s, cond, how).select(*[F.col(f"_b.{c}") for c in big.columns], *[F.col(f"_g.{c}") for c in rest])

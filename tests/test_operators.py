@@ -220,3 +220,18 @@ def test_stratified_split_keeps_null_stratum_with_exact_counts(spark):
         assert got.get((s, "test"), 0) == n_test
         assert got.get((s, "valid"), 0) == n_valid
         assert got.get((s, "train"), 0) == c - n_test - n_valid
+
+
+def test_grouped_psi_equals_psi_per_group(spark):
+    from sparkexp.operators.drift import population_stability_index
+
+    rng = np.random.default_rng(5)
+    def frame(shape):
+        g = np.where(rng.random(1500) < 0.7, "hot", "cold")
+        v = np.round(rng.gamma(shape, size=1500), 1)
+        return spark.createDataFrame(pd.DataFrame({"g": g, "v": v}))
+    e, a = frame(2.0), frame(2.4)
+    grouped = {r.g: r.psi for r in population_stability_index(e, a, ["v"], group_cols=["g"]).collect()}
+    for g in ("hot", "cold"):
+        one = population_stability_index(e.where(F.col("g") == g), a.where(F.col("g") == g), ["v"]).collect()[0].psi
+        assert grouped[g] == pytest.approx(one, rel=1e-12)
