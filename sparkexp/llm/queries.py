@@ -147,3 +147,23 @@ def op10(spark, sf_dir):
 
 
 ORACLES["op10_license_scan"] = _op10_sql()
+
+
+# -------------------------------------------------------- 2: substring dedup
+@query("op2_substring_dedup")
+def op2(spark, sf_dir):
+    from sparkexp.llm.substring_dedup import dedup_words
+
+    d = dedup_words(table(spark, sf_dir, "documents"), length=35)
+    return d.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# ----------------------------------------------------------- 4: suffix dedup
+@query("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    from sparkexp.llm.suffix_dedup import dedup_bytes
+
+    d = dedup_bytes(table(spark, sf_dir, "documents"), length=50)
+    return d.select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
