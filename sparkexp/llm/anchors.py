@@ -178,21 +178,29 @@ def _ragged(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
 SEED_ROWS = "bucket int, did long, rid long, h binary, d binary, dids binary, rids binary"
 
 
-def _seed_rows(tokens, k: int, m: int, n_buckets: int, by_row: bool):
+def window_seeds(tokens, k: int, m: int):
+    """Per batch: seed hash and row of every span, and the rows' did and rid."""
+
+    def extract(batch):
+        raw, off = text_bytes(batch.column("text"))
+        hs, ds = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        for a, b in groups(off):
+            tok, toff, _ = tokens.split(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+            h, _, _, doc = elect(tok, toff, k, m)
+            hs.append(h)
+            ds.append(doc + a)
+        return np.concatenate(hs), np.concatenate(ds), *(np.asarray(batch.column(c), dtype=np.int64) for c in ("did", "rid"))
+
+    return extract
+
+
+def _seed_rows(extract: Callable, n_buckets: int, by_row: bool):
     """by_row: a seed must occur in two rows, not just twice."""
     schema = pa.schema([("bucket", pa.int32()), ("did", pa.int64()), ("rid", pa.int64()), *[(c, pa.binary()) for c in ("h", "d", "dids", "rids")]])
 
     def run(batches):
         for batch in batches:
-            raw, off = text_bytes(batch.column("text"))
-            dids, rids = (np.asarray(batch.column(c), dtype=np.int64) for c in ("did", "rid"))
-            hs, ds = [np.zeros(0, U)], [np.zeros(0, np.int64)]
-            for a, b in groups(off):
-                tok, toff, _ = tokens.split(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-                h, _, _, doc = elect(tok, toff, k, m)
-                hs.append(h)
-                ds.append(doc + a)
-            h, d = np.concatenate(hs), np.concatenate(ds)
+            h, d, dids, rids = extract(batch)
             o = np.lexsort((d, h))
             h, d = h[o], d[o]
             if by_row and len(h):  # a row's own repeats do not count
@@ -245,7 +253,9 @@ def _by_row(did: np.ndarray, rid: np.ndarray, *values: np.ndarray) -> pa.Table:
 
 
 def _shared_seeds(table: pa.Table) -> pa.Table:
-    """Of one bucket: per row the seeds that occur elsewhere too."""
+    """Of one bucket: per row the seeds that occur in another row or twice. One
+    row's entries, which only come from several blocks if rows are equal, count
+    one by one."""
     told = table.filter(pc.is_valid(table["rid"]))
     rest = table.filter(pc.is_null(table["rid"]))
     hs, did, rid, here = [], [], [], []
@@ -328,6 +338,13 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
     return run
 
 
+def shared_seeds(src: DataFrame, extract: Callable, by_row: bool) -> DataFrame:
+    """did, rid, a: seeds (uint64 binary) of a row that occur elsewhere too; a row
+    may come several times, with different seeds."""
+    seeds = src.mapInArrow(_seed_rows(extract, bucket_count(src), by_row), SEED_ROWS)
+    return seeds.groupBy("bucket").applyInArrow(_shared_seeds, "did long, rid long, a binary")
+
+
 def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, settle: Callable, compare: Callable) -> DataFrame:
     """did, rid, a, b: lists of token intervals [a, b) (int32 binaries) that
     repeated windows cover, per row of ``src`` that has any.
@@ -336,9 +353,7 @@ def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, set
     yields (index, first window, number of windows) of what repeats.
     """
     n = bucket_count(src)
-    seeds = src.mapInArrow(_seed_rows(tokens, k, m, n, by_row), SEED_ROWS)
-    shared = seeds.groupBy("bucket").applyInArrow(_shared_seeds, "did long, rid long, a binary")
-    shared = shared.groupBy(F.col("did").alias("s_did"), F.col("rid").alias("s_rid")).agg(F.collect_list("a").alias("shared"))
+    shared = shared_seeds(src, window_seeds(tokens, k, m), by_row).groupBy(F.col("did").alias("s_did"), F.col("rid").alias("s_rid")).agg(F.collect_list("a").alias("shared"))
     both = src.join(shared, (F.col("did") == F.col("s_did")) & (F.col("rid") == F.col("s_rid"))).select("did", "rid", "text", "shared")
     spans = both.mapInArrow(_span_rows(tokens, k, m, n, settle), SPAN_ROWS)
 

@@ -167,3 +167,13 @@ def op4(spark, sf_dir):
     return d.select(
         "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+# ------------------------------------------------------ 3: n-gram Jaccard join
+@query("op3_jaccard_join")
+def op3(spark, sf_dir):
+    from sparkexp.llm.anchors import NO_ID
+    from sparkexp.llm.setjoin import jaccard_components
+
+    j = jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return j.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
