@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkexp.llm.text import ascii_lower, hash128, lines, or_empty, own_names, strip_space
+from sparkexp.llm.text import ascii_lower, hash128, lines, or_empty, strip_space
 
 
 def line_key(line: Column) -> Column:
@@ -25,7 +25,7 @@ def _key_hash(line: Column) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, keep: list[str] | None = None
 ) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped`` of every row, ``text`` without the
     lines whose key (stripped, ASCII-lower-cased, not empty) occurs in at least
@@ -50,9 +50,10 @@ def dedup_lines(
     kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.coalesce(F.array_contains(F.col("drops"), _key_hash(x)), F.lit(False)))
     )
-    j = j.select("doc_id", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
+    j = j.select("doc_id", "row", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
     return j.select(
         "doc_id",
+        *["row"] * bool(keep),
         F.array_join("kept", "\n").alias("text"),
         "n_lines",
         (F.col("n_lines") - F.size("kept")).alias("n_dropped"),

@@ -177,3 +177,30 @@ def op3(spark, sf_dir):
 
     j = jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
     return j.select(F.nullif("did", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
+
+
+# ------------------------------------------------- 1: benchmark decontamination
+@query("op1_decontaminate")
+def op1(spark, sf_dir):
+    from sparkexp.llm.decontaminate import find_leaks
+
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "score", F.round("share", 6).alias("share"), "start_word", "end_word")
+
+
+# -------------------------------------------------------- 5: HTML extraction
+@query("op5_html_text")
+def op5(spark, sf_dir):
+    from sparkexp.llm.html_text import extract
+
+    p = extract(table(spark, sf_dir, "pages"), "html")
+    return p.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+# --------------------------------------------------------- 8: personal data
+@query("op8_personal_data")
+def op8(spark, sf_dir):
+    from sparkexp.llm.pii import find_personal
+
+    p = find_personal(table(spark, sf_dir, "documents"))
+    return p.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
