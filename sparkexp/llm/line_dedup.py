@@ -33,9 +33,11 @@ def dedup_lines(
 
     Each row is one document, also when rows repeat or ids tie. NULL and empty
     text is one empty line and stays ``""``. NULL ids are kept as they are. An
-    empty table gives an empty table; other columns are ignored.
+    empty table gives an empty table. Other columns are ignored, but those in
+    ``keep`` come back as the struct ``row``.
     """
-    d = own_names(docs, {"doc_id": id_col, "text": text_col})
+    row = F.struct(*[F.col(f"`{c}`") for c in keep or []] or [F.lit(0).alias("_")]).alias("row")
+    d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), row)
     d = d.withColumn("lines", lines(F.col("text"))).withColumn("th", F.xxhash64(or_empty(F.col("text"))))
     keys = F.array_distinct(F.filter(F.transform("lines", _key_hash), lambda k: k.isNotNull()))
     seen = d.select("doc_id", "th", F.explode(keys).alias("k"))
