@@ -23,9 +23,16 @@ from sparkexp.llm.text import or_empty
 from sparkexp.session import ensure_checkpoint_dir
 
 
+def _keyed(docs: DataFrame, **keys) -> DataFrame:
+    """Every row as the struct ``row`` beside working columns, so that columns of
+    the same names cannot clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *[v.alias(k) for k, v in keys.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the robust distance reject go."""
-    return judge(docs).where("kept").select("row.*").select(*docs.columns)
+    return judge(docs).where("kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +40,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lost them all goes with them."""
     d = dedup_lines(docs, min_docs=10, keep=docs.columns)
     d = d.where((F.col("n_dropped") < F.col("n_lines")) | (F.col("n_dropped") == 0))
-    out = d.select("row.*", F.col("text").alias("new_text")).withColumn("text", F.col("new_text")).drop("new_text")
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return d.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,17 +54,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = j.where("did = component_id").groupBy("did", "rid").agg(F.first("n_shingles").alias("n"))
     # Rows that share the smallest id but not the text: the smallest hash.
     first = first.groupBy("did").agg(F.min("rid").alias("rid")).withColumnsRenamed({"did": "f_did", "rid": "f_rid"})
-    key = {"k_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "k_rid": F.xxhash64(F.col("doc_id").cast("long"), or_empty(F.col("text")))}
-    d = docs.withColumns(key).join(first, (F.col("k_did") == F.col("f_did")) & (F.col("k_rid") == F.col("f_rid")), "left_semi")
-    return d.dropDuplicates(["k_did", "k_rid"]).select(*docs.columns)
+    i, t = F.col("doc_id").cast("long"), or_empty(F.col("text"))
+    d = _keyed(docs, k_did=F.coalesce(i, F.lit(NO_ID)), k_rid=F.xxhash64(i, t))
+    d = d.join(first, (F.col("k_did") == F.col("f_did")) & (F.col("k_rid") == F.col("f_rid")), "left_semi")
+    return d.dropDuplicates(["k_did", "k_rid"]).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = find_leaks(docs, items).select(F.col("doc_id").alias("b_id"), "th").distinct()
-    th = F.xxhash64(or_empty(F.col("text")))
-    return docs.withColumn("d_th", th).join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("d_th") == F.col("th")), "left_anti").select(*docs.columns)
+    bad = find_leaks(docs, items).select(F.col("doc_id").alias("b_id"), F.col("th").alias("b_th")).distinct()
+    d = _keyed(docs, d_id=F.col("doc_id"), d_th=F.xxhash64(or_empty(F.col("text"))))
+    return d.join(bad, F.col("d_id").eqNullSafe(F.col("b_id")) & (F.col("d_th") == F.col("b_th")), "left_anti").select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
