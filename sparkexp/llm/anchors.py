@@ -166,8 +166,13 @@ def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(i, F.lit(NO_ID)).alias("did"), F.xxhash64(i, or_empty(t)).alias("rid"), t.alias("text"))
 
 
+def with_id(df: DataFrame) -> DataFrame:
+    """``did`` turned back into ``doc_id``."""
+    return df.withColumn("did", F.nullif("did", F.lit(NO_ID))).withColumnRenamed("did", "doc_id")
+
+
 def bucket_count(docs: DataFrame) -> int:
-    return 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def _ragged(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
@@ -175,11 +180,23 @@ def _ragged(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
 
 
+def pack(h: np.ndarray) -> bytes:
+    """The upper six bytes of every hash: enough to rule seeds out."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpack(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view(U).ravel()
+
+
 SEED_ROWS = "bucket int, did long, rid long, h binary, d binary, dids binary, rids binary"
 
 
 def window_seeds(tokens, k: int, m: int):
-    """Per batch: seed hash and row of every span, and the rows' did and rid."""
+    """Per batch: seed hash and row of every span, and the rows' keys. Here rid
+    alone is the key: rows that share it by chance only get more candidates."""
 
     def extract(batch):
         raw, off = text_bytes(batch.column("text"))
@@ -189,7 +206,7 @@ def window_seeds(tokens, k: int, m: int):
             h, _, _, doc = elect(tok, toff, k, m)
             hs.append(h)
             ds.append(doc + a)
-        return np.concatenate(hs), np.concatenate(ds), *(np.asarray(batch.column(c), dtype=np.int64) for c in ("did", "rid"))
+        return np.concatenate(hs), np.concatenate(ds), None, np.asarray(batch.column("rid"), dtype=np.int64)
 
     return extract
 
@@ -201,8 +218,10 @@ def _seed_rows(extract: Callable, n_buckets: int, by_row: bool):
     def run(batches):
         for batch in batches:
             h, d, dids, rids = extract(batch)
+            wide = dids is not None
+            dids = dids if wide else np.zeros(len(rids), np.int64)
             o = np.lexsort((d, h))
-            h, d = h[o], d[o]
+            h, d = h[o] >> U(16) << U(16), d[o]
             if by_row and len(h):  # a row's own repeats do not count
                 keep = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])]
                 h, d = h[keep], d[keep]
@@ -222,7 +241,8 @@ def _seed_rows(extract: Callable, n_buckets: int, by_row: bool):
                 who = sd[cut[:-1]]
                 none = pa.nulls(len(who), pa.binary())
                 spread = (np.abs(rids[who]) % n_buckets).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(dids[who]), pa.array(rids[who]), _ragged(sh, cut), none, none, none], schema=schema)
+                packed = pa.array([pack(sh[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(dids[who]), pa.array(rids[who]), packed, none, none, none], schema=schema)
             # One entry for each seed; -1: shared already.
             eh, ed = h[new], np.where(shared[new], -1, d[new]).astype(np.int32)
             bucket = (eh >> U(33)) % U(n_buckets)
@@ -235,7 +255,7 @@ def _seed_rows(extract: Callable, n_buckets: int, by_row: bool):
                 known = used[used >= 0]
                 at = at - (len(used) - len(known))
                 small = at.astype(np.int16 if len(known) < 1 << 15 else np.int32)
-                rows.append((int(bucket[a]), eh[a:b].tobytes(), small.tobytes(), dids[known].tobytes(), rids[known].tobytes()))
+                rows.append((int(bucket[a]), pack(eh[a:b]), small.tobytes(), dids[known].tobytes() if wide else b"", rids[known].tobytes()))
             cols = list(zip(*rows, strict=True))
             none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), none, none, *[pa.array(c, pa.binary()) for c in cols[1:]]], schema=schema)
@@ -260,9 +280,10 @@ def _shared_seeds(table: pa.Table) -> pa.Table:
     rest = table.filter(pc.is_null(table["rid"]))
     hs, did, rid, here = [], [], [], []
     for h, d, dids, rids in zip(*(rest[c].to_pylist() for c in ("h", "d", "dids", "rids")), strict=True):
-        h = np.frombuffer(h, U)
+        h = unpack(h)
         d = np.frombuffer(d, np.int16 if len(d) == 2 * len(h) else np.int32).astype(np.int64)
-        dids, rids = np.append(np.frombuffer(dids, np.int64), 0), np.append(np.frombuffer(rids, np.int64), 0)
+        rids = np.append(np.frombuffer(rids, np.int64), 0)
+        dids = np.append(np.frombuffer(dids, np.int64), 0) if dids else np.zeros(len(rids), np.int64)
         hs.append(h)
         did.append(dids[d])
         rid.append(rids[d])
@@ -272,13 +293,16 @@ def _shared_seeds(table: pa.Table) -> pa.Table:
         h, did, rid, here = map(np.concatenate, (hs, did, rid, here))
         _, inv, n = np.unique(h, return_inverse=True, return_counts=True)
         hot = (n[inv] > 1) & here
-        out.append(_by_row(did[hot], rid[hot], h[hot]))
+        t = _by_row(did[hot], rid[hot], h[hot])
+        out.append(t.set_column(2, "a", pa.array([pack(np.frombuffer(x, U)) for x in t["a"].to_pylist()], pa.binary())))
     return pa.concat_tables(out)
 
 
-SPAN_ROWS = "bucket int, did long, rid long, a binary, b binary, h long, first int, span binary"
+SPAN_ROWS = "bucket int, did binary, rid binary, a binary, b binary, h binary, n binary, spans binary"
 INTERVALS = "did long, rid long, a binary, b binary"
-_SPAN_SCHEMA = pa.schema([("bucket", pa.int32()), ("did", pa.int64()), ("rid", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("h", pa.int64()), ("first", pa.int32()), ("span", pa.binary())])
+_SPAN_SCHEMA = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("did", "rid", "a", "b", "h", "n", "spans")]])
+#: First word of a span that stands for spans settled in their block.
+MARK = -1
 
 
 def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
@@ -301,8 +325,8 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
                     x, y = edge[i], edge[i + 1]
                     if x == y:
                         continue
-                    wanted = np.frombuffer(b"".join(shared[a + i]), U)
-                    for j in np.flatnonzero(np.isin(h[x:y], wanted)) + x:
+                    wanted = unpack(b"".join(shared[a + i]))
+                    for j in np.flatnonzero(np.isin(h[x:y] >> U(16) << U(16), wanted)) + x:
                         f = int(first[j])
                         span = tokens.span(part, places, f, f + int(n[j]) + k - 1)
                         seen.setdefault(span, []).append((a + i, f - int(toff[i]), int(n[j]), int(h[j])))
@@ -312,39 +336,42 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
                 sure += [at[j] for j in known]
                 send += [(at[j], span) for j in rest]
                 if mark:
-                    send.append(((None, *at[0][1:]), span))
+                    send.append(((at[0][0], MARK, *at[0][2:]), span))
             if sure:
-                s = np.array([x[:3] for x in sure], np.int64)
-                t = _by_row(dids[s[:, 0]], rids[s[:, 0]], s[:, 1].astype(np.int32), (s[:, 1] + s[:, 2] + k - 1).astype(np.int32))
-                n = t.num_rows
-                spread = (np.abs(t["rid"].to_numpy()) % n_buckets).astype(np.int32)
-                for r in pa.table([pa.array(spread), t["did"], t["rid"], t["a"], t["b"], pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_SPAN_SCHEMA).to_batches():
-                    yield r
-            for lo in range(0, len(send), 50_000):
-                part = send[lo : lo + 50_000]
-                h = np.array([x[3] for x, _ in part], U)
-                rows = [x[0] for x, _ in part]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(((h >> U(33)) % U(n_buckets)).astype(np.int32)),
-                        pa.array([None if r is None else int(dids[r]) for r in rows], pa.int64()),
-                        pa.array([None if r is None else int(rids[r]) for r in rows], pa.int64()),
-                        pa.nulls(len(part), pa.binary()), pa.nulls(len(part), pa.binary()),
-                        pa.array(h.view(np.int64)), pa.array([x[1] for x, _ in part], pa.int32()), pa.array([s for _, s in part], pa.binary()),
-                    ],
-                    schema=_SPAN_SCHEMA,
-                )
+                x = np.array([x[:3] for x in sure], np.int64)
+                ends = x[:, 1] + x[:, 2] + k - 1
+                yield row(int(rids[x[0, 0]]) % n_buckets, dids[x[:, 0]], rids[x[:, 0]], x[:, 1], ends, b"", b"", b"")
+            h = np.array([x[3] for x, _ in send], U)
+            bucket = (h >> U(33)) % U(n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
+            for part in np.split(order, cut[1:]) if len(order) else []:
+                x = np.array([send[j][0][:2] for j in part], np.int64)
+                spans = [send[j][1] for j in part]
+                data = b"".join(spans)
+                lens = np.array([len(z) for z in spans], np.int32)
+                yield row(int(bucket[part[0]]), dids[x[:, 0]], rids[x[:, 0]], x[:, 1], None, h[part].tobytes(), lens.tobytes(), pa.compress(data, codec="zstd", asbytes=True))
+
+    def row(bucket, did, rid, a, b, *rest):
+        cells = [did.tobytes(), rid.tobytes(), a.astype(np.int32).tobytes(), None if b is None else b.astype(np.int32).tobytes(), *rest]
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]], schema=_SPAN_SCHEMA)
 
     return run
 
 
 def shared_seeds(src: DataFrame, extract: Callable, by_row: bool) -> DataFrame:
-    """did, rid, a: seeds (uint64 binary) of a row that occur elsewhere too; a row
+    """did, rid, a: seeds (see ``pack``) of a row that occur elsewhere too; a row
     may come several times, with different seeds."""
     seeds = src.mapInArrow(_seed_rows(extract, bucket_count(src), by_row), SEED_ROWS)
     return seeds.groupBy("bucket").applyInArrow(_shared_seeds, "did long, rid long, a binary")
 
 
+def _join(src: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """On rid only, so that the shuffle of the texts is the same in every join and
+    Spark does it once."""
+    return src.join(other.withColumnRenamed("rid", "o_rid"), F.col("rid") == F.col("o_rid"), how).drop("o_rid")
+
+
 def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, settle: Callable, compare: Callable) -> DataFrame:
     """did, rid, a, b: lists of token intervals [a, b) (int32 binaries) that
     repeated windows cover, per row of ``src`` that has any.
@@ -352,46 +379,49 @@ def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, set
     ``compare(h, did, spans)`` gets the spans of one bucket (did None: a mark) and
     yields (index, first window, number of windows) of what repeats.
     """
-    n = bucket_count(src)
-    shared = shared_seeds(src, window_seeds(tokens, k, m), by_row).groupBy(F.col("did").alias("s_did"), F.col("rid").alias("s_rid")).agg(F.collect_list("a").alias("shared"))
-    both = src.join(shared, (F.col("did") == F.col("s_did")) & (F.col("rid") == F.col("s_rid"))).select("did", "rid", "text", "shared")
-    spans = both.mapInArrow(_span_rows(tokens, k, m, n, settle), SPAN_ROWS)
+    shared = shared_seeds(src, window_seeds(tokens, k, m), by_row).groupBy("rid").agg(F.collect_list("a").alias("shared"))
+    spans = _join(src, shared).mapInArrow(_span_rows(tokens, k, m, bucket_count(src), settle), SPAN_ROWS)
 
     def bucket(table: pa.Table) -> pa.Table:
-        told = table.filter(pc.is_valid(table["a"]))
-        rest = table.filter(pc.is_null(table["a"]))
-        out = [told.select(["did", "rid", "a", "b"])]
-        if rest.num_rows:
-            did, rid, first = (rest[c].to_pylist() for c in ("did", "rid", "first"))
-            got = [x for x in compare(rest["h"].to_numpy(), did, rest["span"].to_pylist()) if did[x[0]] is not None]
+        out, h, did, rid, first, texts = [], [], [], [], [], []
+        for x in table.to_pylist():
+            d, r, a = np.frombuffer(x["did"], np.int64), np.frombuffer(x["rid"], np.int64), np.frombuffer(x["a"], np.int32)
+            if x["b"] is not None:
+                out.append(_by_row(d, r, a, np.frombuffer(x["b"], np.int32)))
+                continue
+            lens = np.frombuffer(x["n"], np.int32)
+            data = pa.decompress(x["spans"], int(lens.sum()), codec="zstd", asbytes=True)
+            cut = np.cumsum(lens).tolist()
+            texts += [data[i:j] for i, j in zip([0, *cut], cut, strict=False)]
+            h.append(np.frombuffer(x["h"], U))
+            did.append(d)
+            rid.append(r)
+            first.append(a)
+        if h:
+            h, did, rid, first = map(np.concatenate, (h, did, rid, first))
+            owner = [None if f == MARK else d for d, f in zip(did.tolist(), first.tolist(), strict=True)]
+            got = [x for x in compare(h, owner, texts) if owner[x[0]] is not None]
             if got:
                 g = np.array(got, np.int64)
-                at = np.array([first[i] for i in g[:, 0]], np.int64) + g[:, 1]
-                who = lambda c: np.array([c[i] for i in g[:, 0]], np.int64)
-                out.append(_by_row(who(did), who(rid), at.astype(np.int32), (at + g[:, 2] + k - 1).astype(np.int32)))
-        return pa.concat_tables(out)
+                at = first[g[:, 0]] + g[:, 1]
+                out.append(_by_row(did[g[:, 0]], rid[g[:, 0]], at.astype(np.int32), (at + g[:, 2] + k - 1).astype(np.int32)))
+        none = pa.array([], pa.int64())
+        return pa.concat_tables(out or [pa.table([none, none, pa.array([], pa.binary()), pa.array([], pa.binary())], names=["did", "rid", "a", "b"])])
 
     return spans.groupBy("bucket").applyInArrow(bucket, INTERVALS)
 
 
-def covered(docs: DataFrame, id_col: str, text_col: str, intervals: DataFrame) -> DataFrame:
-    """doc_id, text, a, b of every row of ``docs``: its intervals (lists of
-    binaries, NULL without any) joined back."""
-    src = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("did"),
-        F.xxhash64(F.col(f"`{id_col}`").cast("long"), or_empty(F.col(f"`{text_col}`"))).alias("rid"),
-    )
-    per_row = intervals.groupBy(F.col("did").alias("i_did"), F.col("rid").alias("i_rid")).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    j = src.join(per_row, (F.col("did") == F.col("i_did")) & (F.col("rid") == F.col("i_rid")), "left")
-    return j.select("doc_id", "text", "a", "b")
+def covered(src: DataFrame, intervals: DataFrame) -> DataFrame:
+    """did, rid, text, found of every row of ``src``: its intervals joined back as
+    a list of (did, a, b), NULL without any."""
+    per_row = intervals.groupBy("rid").agg(F.collect_list(F.struct("did", "a", "b")).alias("found"))
+    return _join(src, per_row, "left")
 
 
-def flags(n: int, a: list[bytes] | None, b: list[bytes] | None) -> np.ndarray:
-    """Which of n tokens the intervals cover."""
-    if not a:
-        return np.zeros(n, bool)
+def flags(n: int, did: int, found: list[dict] | None) -> np.ndarray:
+    """Which of the n tokens of row ``did`` the intervals cover."""
+    own = [x for x in found or [] if x["did"] == did]
     step = np.zeros(n + 1, np.int64)
-    np.add.at(step, np.frombuffer(b"".join(a), np.int32), 1)
-    np.add.at(step, np.frombuffer(b"".join(b), np.int32), -1)
+    np.add.at(step, np.frombuffer(b"".join(x["a"] for x in own), np.int32), 1)
+    np.add.at(step, np.frombuffer(b"".join(x["b"] for x in own), np.int32), -1)
     return np.cumsum(step[:-1]) > 0

@@ -107,7 +107,8 @@ def fingerprints(vals: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def signatures(sets: np.ndarray, rule: Rule, band: int) -> tuple[np.ndarray, int]:
     """Signatures of one set in the scheme of ``band`` and how many empty
-    segments were left out. The lowest bit of a signature is the band's parity."""
+    segments were left out. Of a signature six bytes count (see ``anchors.pack``);
+    their lowest bit is the band's parity."""
     m, spare, deletions = rule.scheme(band)
     if not m:
         return np.zeros(0, U), 0
@@ -126,7 +127,7 @@ def signatures(sets: np.ndarray, rule: Rule, band: int) -> tuple[np.ndarray, int
         if none.sum() <= spare:
             empty = int(none.sum())
             sig = sig[~none]
-    return (np.unique(sig) & ~U(1)) | U(band & 1), empty
+    return np.unique((sig >> U(17) << U(17)) | U((band & 1) << 16)), empty
 
 
 def _describe(n: int):
@@ -172,7 +173,7 @@ def _keep_rare(rule: Rule):
                 sigs, freqs = np.array(sigs, np.int64).view(U), np.array(freqs, np.int64)
                 b = rule.band(size)
                 for scheme in (b, b + 1):
-                    mine = (sigs & U(1)) == U(scheme & 1)
+                    mine = (sigs >> U(16) & U(1)) == U(scheme & 1)
                     _, empty = signatures(own, rule, scheme)
                     drop = rule.scheme(scheme)[1] - empty
                     o = np.lexsort((sigs[mine], -freqs[mine]))[max(0, drop) :]
@@ -259,11 +260,11 @@ def link_classes(src: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
 def _explode_seeds(batches):
     for batch in batches:
         blobs = batch.column("a").to_pylist()
-        n = np.array([len(b) // 8 for b in blobs], np.int64)
+        n = np.array([len(b) // 6 for b in blobs], np.int64)
         f = [np.repeat(np.asarray(batch.column(c), dtype=np.int64), n) for c in ("did", "rid")]
         key = np.stack(f, axis=1).tobytes() if len(n) else b""
         cls = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), int(n.sum()), [None, pa.py_buffer(key)]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([cls, pa.array(np.frombuffer(b"".join(blobs), np.int64))], names=["cls", "sig"])
+        yield pa.RecordBatch.from_arrays([cls, pa.array(anchors.unpack(b"".join(blobs)).view(np.int64))], names=["cls", "sig"])
 
 
 def _sets(n: int):

@@ -79,12 +79,12 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def cut(batches):
         for batch in batches:
             raw, off = anchors.text_bytes(batch.column("text"))
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            did, found = batch.column("did").to_pylist(), batch.column("found").to_pylist()
             kept, n_words, n_removed, starts, ends = [], [], [], [], []
             for i in range(batch.num_rows):
                 words = raw[off[i] : off[i + 1]].tobytes().split()
-                if a[i]:
-                    f = anchors.flags(len(words), a[i], b[i])
+                if found[i]:
+                    f = anchors.flags(len(words), did[i], found[i])
                     edge = np.flatnonzero(np.diff(np.r_[0, f.astype(np.int8), 0]))
                     left = [w for w, gone in zip(words, f.tolist(), strict=True) if not gone]
                 else:
@@ -95,11 +95,11 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 starts.append(edge[::2])
                 ends.append(edge[1::2])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))],
-                names=["doc_id", "text", "n_words", "n_removed", "starts", "ends"],
+                [batch.column("did"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))],
+                names=["did", "text", "n_words", "n_removed", "starts", "ends"],
             )
 
-    kind = dict(docs.dtypes)[id_col]
-    return anchors.covered(docs, id_col, text_col, found).mapInArrow(
-        cut, f"doc_id {kind}, text string, n_words long, n_removed long, starts array<long>, ends array<long>"
+    out = anchors.covered(src, found).mapInArrow(
+        cut, "did long, text string, n_words long, n_removed long, starts array<long>, ends array<long>"
     )
+    return anchors.with_id(out)
