@@ -49,19 +49,6 @@ def poisson1_cdf(kmax: int = 16) -> list[float]:
     return out
 
 
-def poisson1_weight(u: Column, kmax: int = 16) -> Column:
-    """Inverse-CDF Poisson(1) draw: number of CDF steps at or below u."""
-    terms = [F.when(u >= F.lit(c), F.lit(1)).otherwise(F.lit(0)) for c in poisson1_cdf(kmax)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total.cast("int")
-
-
-def poisson1_weight_sql(u: str, kmax: int = 16) -> str:
-    return "(" + " + ".join(f"(CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END)" for c in poisson1_cdf(kmax)) + ")"
-
-
 # ---------------------------------------------------------------- vectorised 32-bit hash
 # For per-(row, replicate) draws a cryptographic hash per pair is too slow.
 # The "lowbias32" integer mixer (C. Wellons, public domain) is a bijection on

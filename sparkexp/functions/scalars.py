@@ -136,28 +136,6 @@ def positive_class_score(probability_col: str = "probability") -> Column:
     return vector_to_array(F.col(probability_col)).getItem(1)
 
 
-# Names preferred when picking a score column, in order.
-SCORE_NAME_PREFERENCE = ("prediction_score_1", "score_1", "prob_1", "probability_1", "prediction_score", "score")
-
-
-def pick_score_column(columns: Iterable[str]) -> str | None:
-    """Choose the score column by name, preferring positive-class names."""
-    cols = list(columns)
-    lower = {c.lower(): c for c in cols}
-    for name in SCORE_NAME_PREFERENCE:
-        if name in lower:
-            return lower[name]
-    for c in cols:
-        lc = c.lower()
-        if ("score" in lc or "prob" in lc) and lc.endswith("1"):
-            return c
-    for c in cols:
-        lc = c.lower()
-        if "score" in lc or "prob" in lc:
-            return c
-    return None
-
-
 def null_as_token(col: Column | str, token: str = "nan") -> Column:
     """pandas-style stringification: NULL becomes the text ``nan``."""
     return F.coalesce(_c(col).cast("string"), F.lit(token))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkexp.operators.joins import join_per_group
+from sparkexp.operators.joins import join_keys, join_per_group
 from sparkexp.operators.ordering import global_rank
 
 FP_COST = 65.0
@@ -132,7 +132,7 @@ def threshold_sweep(
     keyed = buckets.crossJoin(F.broadcast(grid)).where(F.col("_b") >= F.col("t_index") + 1)
     pos = keyed.groupBy(*group_cols, "t_index").agg(F.sum("_c").alias("_pp"), F.sum("_p").alias("_tp"))
     base = totals.crossJoin(F.broadcast(grid))
-    j = base.join(pos, [*group_cols, "t_index"], "left") if group_cols else base.join(pos, ["t_index"], "left")
+    j = join_keys(base, pos, [*group_cols, "t_index"], "left")
     pp = F.coalesce(F.col("_pp"), F.lit(0))
     tp = F.coalesce(F.col("_tp"), F.lit(0))
     fp = pp - tp
@@ -237,5 +237,5 @@ def evaluate_classifier(
     br = brier_score(test, label_col, prob_col, group_cols)
     out = cm
     for part in (ap, auc, br):
-        out = out.join(part, list(group_cols), "inner") if group_cols else out.crossJoin(part)
+        out = join_keys(out, part, group_cols)
     return out

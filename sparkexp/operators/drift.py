@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkexp.operators.joins import join_per_group
+from sparkexp.session import cut_lineage
+from sparkexp.operators.joins import join_keys, join_per_group
 from sparkexp.operators.ordering import quantiles_from_counts
 
 EPSILON = 1e-6
@@ -24,9 +24,14 @@ def _keys(group_cols: Sequence[str]) -> list[str]:
     return [*group_cols, "feature"]
 
 
+def _double(df: DataFrame, c: str) -> Column:
+    """Text that is no number is NULL; other types are cast as they are."""
+    return F.col(c).try_cast("double") if dict(df.dtypes)[c] == "string" else F.col(c).cast("double")
+
+
 def _numeric_long(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").try_cast("double").alias("_v")) for c in cols]
+        *[F.struct(F.lit(c).alias("feature"), _double(df, c).alias("_v")) for c in cols]
     )
     return df.select(*group_cols, F.inline(pairs)).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
@@ -49,8 +54,8 @@ def psi_edges(
     ``value_counts`` (from ``_value_counts``) saves a pass when the caller
     already has it."""
     probs = [i / bins for i in range(bins + 1)]
-    dist = value_counts if value_counts is not None else _value_counts(expected, cols, group_cols).persist(
-        StorageLevel.MEMORY_AND_DISK
+    dist = value_counts if value_counts is not None else cut_lineage(
+        _value_counts(expected, cols, group_cols)
     )
     q = quantiles_from_counts(dist, _keys(group_cols), probs, group_cols)
     return q.groupBy(*_keys(group_cols)).agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("edges"))
@@ -87,29 +92,23 @@ def population_stability_index(
     keys = _keys(group_cols)
     # The expected side is read once: its (value, count) table feeds both the
     # exact deciles and the expected bin counts.
-    e_dist = _value_counts(expected, cols, group_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    e_dist = cut_lineage(_value_counts(expected, cols, group_cols))
     # one row per (group, feature) with at most bins+1 edges (bounded by the
     # feature count when ungrouped); materialised once, then broadcast
-    edges = psi_edges(expected, cols, bins, group_cols, e_dist).where(F.size("edges") >= 3).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    edges.count()
+    edges = cut_lineage(psi_edges(expected, cols, bins, group_cols, e_dist).where(F.size("edges") >= 3))
     a_long = _numeric_long(actual, cols, group_cols).withColumn("_c", F.lit(1))
 
     def counts(vals: DataFrame, name: str) -> DataFrame:
         # left join: values of features without usable edges still count as
         # non-empty input (bin NULL), so one aggregate gives bins and totals
-        if group_cols:  # one row per (group, feature): size-checked broadcast
-            j = join_per_group(vals, edges, keys, how="left")
-        else:  # one row per feature
-            j = vals.join(F.broadcast(edges), keys, "left")
+        j = join_per_group(vals, edges, keys, how="left")
         b = j.select(*keys, _bin_of(F.col("_v"), F.col("edges"), bins + 1).alias("bin"), "_c")
-        return b.groupBy(*keys, "bin").agg(F.sum("_c").alias(name)).persist(StorageLevel.MEMORY_AND_DISK)
+        return cut_lineage(b.groupBy(*keys, "bin").agg(F.sum("_c").alias(name)))
 
     all_bins = edges.select(*keys, F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     e_all, a_all = counts(e_dist, "_e"), counts(a_long, "_a")
     e_cnt, a_cnt = e_all.where(F.col("bin").isNotNull()), a_all.where(F.col("bin").isNotNull())
-    m = all_bins.join(e_cnt, [*keys, "bin"], "left").join(a_cnt, [*keys, "bin"], "left")
+    m = join_keys(join_keys(all_bins, e_cnt, [*keys, "bin"], "left"), a_cnt, [*keys, "bin"], "left")
     m = m.select(*keys, "bin", F.coalesce("_e", F.lit(0)).alias("_e"), F.coalesce("_a", F.lit(0)).alias("_a"))
     w = Window.partitionBy(*keys)
     nb = F.count(F.lit(1)).over(w)
@@ -133,7 +132,9 @@ def population_stability_index(
         feats = expected.select(*group_cols).distinct().crossJoin(F.broadcast(feats))
     e_n = e_all.groupBy(*keys).agg(F.sum("_e").alias("_ne"))
     a_n = a_all.groupBy(*keys).agg(F.sum("_a").alias("_na"))
-    out = feats.join(psi, keys, "left").join(e_n, keys, "left").join(a_n, keys, "left")
+    out = feats
+    for part in (psi, e_n, a_n):
+        out = join_keys(out, part, keys, "left")
     ok = (F.coalesce("_ne", F.lit(0)) > 0) & (F.coalesce("_na", F.lit(0)) > 0)
     return out.select(*keys, F.when(ok, F.col("_psi")).alias("psi"))
 
@@ -144,17 +145,21 @@ def categorical_shift(
     """Half the L1 distance between category shares (NULL is its own category)."""
     keys = _keys(group_cols)
 
-    def shares(df: DataFrame, name: str) -> DataFrame:
+    def levels(df: DataFrame, side: str) -> DataFrame:
         pairs = F.array(
             *[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(null_token)).alias("value")) for c in cols]
         )
-        long = df.select(*group_cols, F.inline(pairs))
-        cnt = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_c"))
-        return cnt.select(*keys, "value", (F.col("_c") / F.sum("_c").over(Window.partitionBy(*keys))).alias(name))
+        ones = [(F.lit(1) if s == side else F.lit(0)).cast("long").alias(s) for s in ("_e", "_a")]
+        return df.select(*group_cols, F.inline(pairs), *ones)
 
-    j = shares(expected, "_p").join(shares(actual, "_q"), [*keys, "value"], "full_outer")
-    diff = F.abs(F.coalesce("_p", F.lit(0.0)) - F.coalesce("_q", F.lit(0.0)))
-    return j.groupBy(*keys).agg((F.sum(diff) * 0.5).alias("shift"))
+    # Both sides in one aggregate; totals are a second one over its few rows, so
+    # a column with as many levels as rows is still spread over all tasks.
+    both = levels(expected, "_e").unionByName(levels(actual, "_a"))
+    cnt = both.groupBy(*keys, "value").agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
+    tot = cnt.groupBy(*keys).agg(F.sum("_e").alias("_te"), F.sum("_a").alias("_ta"))
+    share = lambda n, t: F.coalesce(F.col(n) / F.nullif(F.col(t), F.lit(0)), F.lit(0.0))
+    diff = F.abs(share("_e", "_te") - share("_a", "_ta"))
+    return join_keys(cnt, tot, keys).groupBy(*keys).agg((F.sum(diff) * 0.5).alias("shift"))
 
 
 def drift_level(score: Column) -> Column:
@@ -212,11 +217,11 @@ def density_comparison(
     actual: DataFrame,
     cols: Sequence[str] | None = None,
     bins: int = 20,
-    max_features: int = 4,
 ) -> DataFrame:
-    """Train-vs-recent histograms on shared edges for the first numeric
-    columns (the data behind a density plot): per bin, the share of each side."""
-    num = [c for c in (cols or expected.columns) if _is_numeric(expected, c) and c in actual.columns][:max_features]
+    """Train-vs-recent histograms on shared edges for ``cols`` (default: all
+    numeric columns), the data behind a density plot: per bin, the share of each
+    side."""
+    num = [c for c in (cols or expected.columns) if _is_numeric(expected, c) and c in actual.columns]
     e = _numeric_long(expected, num, ()).withColumn("side", F.lit("train"))
     a = _numeric_long(actual, num, ()).withColumn("side", F.lit("recent"))
     both = e.unionByName(a)

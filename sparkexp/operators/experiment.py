@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkexp.operators.joins import join_keys
 from sparkexp.functions.distributions import chi2_sf_udf, t_two_sided_p_udf
 from sparkexp.functions.normal import norm_ppf, norm_sf_sql, two_sided_p_sql
 from sparkexp.functions.scalars import TREATMENT_TOKENS, encode_treatment
@@ -448,7 +449,7 @@ def balance_check(
         lv = long.groupBy(*group_cols, "_col", "_lvl").agg(
             F.count_if(F.col("_t") == 1).alias("_kt"), F.count_if(F.col("_t") == 0).alias("_kc")
         )
-        lv = lv.join(arm, list(group_cols), "inner") if group_cols else lv.crossJoin(arm)
+        lv = join_keys(lv, arm, group_cols)
         tr = F.col("_kt") / F.nullif(F.col("_nt"), F.lit(0))
         cr = F.col("_kc") / F.nullif(F.col("_nc"), F.lit(0))
         lv = lv.select(*group_cols, "_col", "_lvl", tr.alias("treated_mean"), cr.alias("control_mean"))
@@ -521,5 +522,5 @@ def experiment_summary(
         F.col("expected_incremental_value_blanket").alias("value_blanket"),
         F.col("expected_incremental_value_targeted").alias("value_targeted"),
     )
-    joined = ab.join(pol, list(group_cols), "inner") if group_cols else ab.crossJoin(pol)
+    joined = join_keys(ab, pol, group_cols)
     return decision_recommendation(joined)

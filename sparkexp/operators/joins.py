@@ -1,49 +1,35 @@
-"""Joining a per-group table back onto the rows it was computed from.
-
-A per-group table (stratum counts, per-group thresholds, per-group totals)
-has one row per distinct key, so its size is bounded by the key's
-cardinality, not by the data, but that cardinality is the caller's choice.
-The table is therefore persisted and counted before it is broadcast: at or
-under ``BROADCAST_MAX_ROWS`` rows it is shipped to every task (no shuffle of
-the large side); above that it is a shuffle join on the keys, where AQE's
-skew handling splits a hot key. Keys compare null-safely, so a NULL group
-keeps its rows.
+"""Null-safe keyed joins.
+
+Group keys may be NULL, and a NULL group is a group like any other. An ordinary
+equi-join on named columns loses it, so every join of a per-group table goes
+through ``join_keys``. No hint is given: Spark broadcasts a side whose size it
+knows to be under ``spark.sql.autoBroadcastJoinThreshold`` (with AQE, the size it
+has measured) and shuffles otherwise, where AQE splits a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 100_000
-
 
-def join_per_group(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    max_rows: int = BROADCAST_MAX_ROWS,
-    how: str = "inner",
-) -> DataFrame:
-    """Join ``small`` (one row per key) onto ``big`` (``how``: ``inner`` or
-    ``left``; without keys it is the one-row cross join); output keeps
-    ``big``'s columns, then ``small``'s non-key columns."""
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL (``how``: ``inner`` or ``left``).
+    Output: ``left``'s columns, then ``right``'s other columns. Without keys,
+    ``right`` is one ungrouped aggregate row."""
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     if not keys:
-        # one row: a 1-row broadcast
-        return big.crossJoin(F.broadcast(small.limit(1)))
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()  # the size check: rows of an aggregated table
-    s = F.broadcast(small.alias("_g")) if n <= max_rows else small.alias("_g")
-    b = big.alias("_b")
-    cond = None
-    for k in keys:
-        e = F.col(f"_b.{k}").eqNullSafe(F.col(f"_g.{k}"))
-        cond = e if cond is None else cond & e
-    rest = [c for c in small.columns if c not in keys]
-    return b.join(s, cond, how).select(*[F.col(f"_b.{c}") for c in big.columns], *[F.col(f"_g.{c}") for c in rest])
+        return left.crossJoin(F.broadcast(right))
+    r = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"_key_{k}"]) for k in keys])
+    return left.join(r, cond, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def join_per_group(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``join_keys`` of a table that has one row per key back onto its rows."""
+    return join_keys(big, small, keys, how)

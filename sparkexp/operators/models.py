@@ -16,6 +16,7 @@ data-sized orderings use ``ordering.global_rank``.
 
 from __future__ import annotations
 
+import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -67,7 +68,46 @@ UPLIFT_EXCLUDED = (
     "SGDClassifier",
     "NearestCentroid",
 )
-TREE_FAMILIES = ("random_forest", "xgboost", "decision_tree")
+# Estimator settings per project. Spark grows trees to depth 30 at
+# most, which stands for "no limit".
+UNLIMITED_DEPTH = 30
+SETTINGS = {
+    "churn": {
+        "logistic": {"maxIter": 2000},
+        "forest": {"numTrees": 400, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 2},
+        "extra_trees": {"numTrees": 400, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 2},
+        "boosting": {"maxIter": 450, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.85"},
+        "light_boosting": {"maxIter": 450, "maxDepth": 4, "stepSize": 0.05},
+        "plain_boosting": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
+        "balanced": ("logistic", "forest", "extra_trees"),
+    },
+    "uplift": {
+        "logistic": {"maxIter": 2500},
+        "forest": {"numTrees": 300, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 5},
+        "extra_trees": {"numTrees": 350, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 3},
+        "boosting": {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"},
+        "light_boosting": {"maxIter": 350, "maxDepth": 5, "stepSize": 0.05},
+        "plain_boosting": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
+        "balanced": (),
+    },
+}
+FAMILY_GROUPS = {
+    "logistic": ("logisticregression", "lr", "perceptron"),
+    "forest": ("randomforest", "randomforestclassifier", "rf", "baggingclassifier"),
+    "extra_trees": ("extratrees", "extratreesclassifier", "et"),
+    "boosting": ("xgboost", "xgb", "xgbclassifier", "gbt"),
+    "light_boosting": ("lightgbm", "lgbm", "lgbmclassifier"),
+    "plain_boosting": ("gradientboosting", "gradientboostingclassifier", "adaboost", "adaboostclassifier"),
+}
+
+
+def family_group(family: str) -> str | None:
+    n = family.lower().replace(" ", "").replace("_", "")
+    return next((g for g, names in FAMILY_GROUPS.items() if n in names), None)
+
+
+def wants_balanced_weights(family: str, project: str) -> bool:
+    return family_group(family) in SETTINGS[project]["balanced"]
 
 
 # ---------------------------------------------------------------- registry
@@ -79,47 +119,46 @@ def make_classifier(
     label_col: str = "label",
     weight_col: str | None = None,
     strict: bool = False,
+    project: str = "uplift",
     **overrides: Any,
 ) -> Estimator:
-    """Family name -> ``pyspark.ml`` estimator with fixed settings.
+    """Family name -> ``pyspark.ml`` estimator with the project's fixed settings
+    (``SETTINGS``); ``overrides`` replace single parameters.
 
     Unknown names fall back to logistic regression, or raise when ``strict``.
     Boosting families (GradientBoosting, AdaBoost, XGBoost, LightGBM) map to
     GBT; forests and extra trees to random forest; Gaussian NB to NaiveBayes
     (gaussian); linear / quadratic discriminant analysis to the moment-based
-    ``GaussianDiscriminant``; KNN, which ``pyspark.ml`` lacks, to logistic
-    regression.
+    ``GaussianDiscriminant``. Nearest neighbours, which ``pyspark.ml`` lacks,
+    are refused rather than replaced by another model under their name.
     """
     n = family.lower().replace(" ", "").replace("_", "")
     common = {"featuresCol": features_col, "labelCol": label_col}
+    fixed, group = SETTINGS[project], family_group(family)
+    if "kneighbors" in n or n == "knn":
+        raise ValueError(f"no estimator for {family}")
     if n in ("lineardiscriminantanalysis", "lda"):
         return GaussianDiscriminant("linear", features_col=features_col, label_col=label_col)
     if n in ("quadraticdiscriminantanalysis", "qda"):
         return GaussianDiscriminant("quadratic", reg_param=0.1, features_col=features_col, label_col=label_col)
-    if n in ("logisticregression", "lr", "perceptron"):
-        est = LogisticRegression(maxIter=100, **common)
-        if weight_col:
-            est.setWeightCol(weight_col)
-    elif n in ("randomforest", "randomforestclassifier", "rf", "extratrees", "extratreesclassifier", "et",
-               "baggingclassifier"):
-        est = RandomForestClassifier(numTrees=100, minInstancesPerNode=3, maxDepth=10, seed=seed, **common)
-        if weight_col:
-            est.setWeightCol(weight_col)
+    if group == "logistic":
+        est = LogisticRegression(**fixed[group], **common)
+    elif group in ("forest", "extra_trees"):
+        est = RandomForestClassifier(**fixed[group], seed=seed, **common)
+    elif group in ("boosting", "light_boosting", "plain_boosting"):
+        est = GBTClassifier(**fixed[group], seed=seed, **common)
     elif n in ("decisiontree", "decisiontreeclassifier"):
         est = DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=8, seed=seed, **common)
-    elif n in ("xgboost", "xgb", "xgbclassifier", "lightgbm", "lgbm", "lgbmclassifier", "gradientboosting",
-               "gradientboostingclassifier", "adaboost", "adaboostclassifier", "gbt"):
-        est = GBTClassifier(maxIter=60, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=seed, **common)
-        if weight_col:
-            est.setWeightCol(weight_col)
     elif n in ("ridgeclassifier", "ridge", "linearsvc"):
         est = LinearSVC(maxIter=100, regParam=0.01, **common)
     elif n in ("gaussiannb", "naivebayes"):
         est = NaiveBayes(modelType="gaussian", **common)
     elif strict:
-        raise ValueError(f"Unsupported family: {family}")
+        raise ValueError(f"no settings for the family {family!r}")
     else:
-        est = LogisticRegression(maxIter=100, **common)
+        est = LogisticRegression(**fixed["logistic"], **common)
+    if weight_col and group is not None:
+        est.setWeightCol(weight_col)
     if overrides:
         est = est.copy({est.getParam(k): v for k, v in overrides.items()})
     return est
@@ -179,7 +218,7 @@ class CalibratedModel:
         out = df
         parts: list[Column] = []
         for i, (m, (a, b)) in enumerate(zip(self.bases, self.sigmoids)):
-            out = score_with(m, out, f"_raw{i}")
+            out = calibration_score(m, out, f"_raw{i}")
             parts.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_raw{i}") + F.lit(b)))))
         avg = parts[0]
         for p in parts[1:]:
@@ -196,6 +235,19 @@ def _fit_sigmoid(scored: DataFrame, score_col: str, label_col: str) -> tuple[flo
     return float(m.coefficients[0]), float(m.intercept)
 
 
+#: Models whose raw prediction is a decision value (a margin or log-odds).
+DECISION_MODELS = ("LogisticRegressionModel", "GBTClassificationModel", "LinearSVCModel")
+
+
+def calibration_score(model: Transformer, df: DataFrame, out_col: str) -> DataFrame:
+    """What a sigmoid is fitted to: the decision value where the model has one,
+    else its probability."""
+    if type(model).__name__ not in DECISION_MODELS:
+        return score_with(model, df, out_col)
+    x = model.transform(df).withColumn(out_col, vector_to_array(F.col("rawPrediction")).getItem(1))
+    return _drop_model_cols(x)
+
+
 def platt_calibrate(
     prepared: DataFrame, estimator: Estimator, label_col: str, id_col: str, k: int = 3, seed: int = 42
 ) -> CalibratedModel:
@@ -205,7 +257,7 @@ def platt_calibrate(
     bases, sigs = [], []
     for f in range(k):
         m = estimator.fit(folded.where(F.col("fold") != f))
-        held = score_with(m, folded.where(F.col("fold") == f), "_s")
+        held = calibration_score(m, folded.where(F.col("fold") == f), "_s")
         bases.append(m)
         sigs.append(_fit_sigmoid(held, "_s", label_col))
     folded.unpersist()
@@ -288,9 +340,9 @@ def fit_t_learner(
             models.append(est.fit(part))
     x.unpersist()
     note = (
-        "High: calibrated two-model uplift with manual preprocessing and policy cutoff tuning."
+        "two response models, each calibrated; targeting share tuned afterwards"
         if calibrate
-        else "Moderate: two-model uplift without explicit probability calibration."
+        else "two response models, scores not calibrated"
     )
     return TLearner(pre, models[0], models[1], model_name=f"{family} T-Learner", interpretability_note=note)
 
@@ -354,6 +406,7 @@ def sweep_families(
     families: Sequence[str],
     preprocessor: PipelineModel,
     seed: int = 42,
+    project: str = "churn",
 ) -> DataFrame:
     """Fit every family on the prepared train split and measure it on valid:
     ROC AUC, balanced accuracy and F1 at 0.5, fit seconds. One row per family."""
@@ -364,7 +417,10 @@ def sweep_families(
     for fam in families:
         t0 = time.perf_counter()
         try:
-            m = make_classifier(fam, seed).fit(xt)
+            weighted = wants_balanced_weights(fam, project)
+            m = make_classifier(fam, seed, weight_col="_w" if weighted else None, project=project).fit(
+                balanced_weights(xt, "label") if weighted else xt
+            )
             sc = score_with(m, xv, "_s")
             y, pred = F.col("label"), (F.col("_s") >= 0.5).cast("double")
             r = sc.agg(
@@ -412,25 +468,25 @@ def rank_sweep_churn(
         [(f, i) for i, f in enumerate(("logistic_regression", "random_forest", "xgboost"))], "manual_family string, _ph int"
     )
     chosen = best_tier.select(
-        F.col("model_name").alias("lazy_model_name"), "manual_family", "_tier", "_pos",
-        F.col("roc_auc").alias("lazy_roc_auc"), F.col("balanced_accuracy").alias("lazy_balanced_accuracy"),
+        F.col("model_name").alias("swept_model_name"), "manual_family", "_tier", "_pos",
+        F.col("roc_auc").alias("swept_roc_auc"), F.col("balanced_accuracy").alias("swept_balanced_accuracy"),
     )
     ph = placeholders.join(chosen.select("manual_family"), "manual_family", "left_anti").select(
-        F.lit("fallback_placeholder").alias("lazy_model_name"), "manual_family", F.lit(2).alias("_tier"),
-        F.col("_ph").cast("int").alias("_pos"), F.lit(None).cast("double").alias("lazy_roc_auc"),
-        F.lit(None).cast("double").alias("lazy_balanced_accuracy"),
+        F.lit("fallback_placeholder").alias("swept_model_name"), "manual_family", F.lit(2).alias("_tier"),
+        F.col("_ph").cast("int").alias("_pos"), F.lit(None).cast("double").alias("swept_roc_auc"),
+        F.lit(None).cast("double").alias("swept_balanced_accuracy"),
     )
     allc = chosen.unionByName(ph)
     w = Window.orderBy("_tier", "_pos")
     reason = (
-        F.when(F.col("_tier") == 0, F.lit("Meets quality floor and is implementable in manual pipeline."))
-        .when(F.col("_tier") == 1, F.lit("Fallback: implementable family added to ensure 3 manual tracks."))
-        .otherwise(F.lit("Fallback placeholder: no suitable LazyPredict mapping available."))
+        F.when(F.col("_tier") == 0, F.lit("passes_quality_floor"))
+        .when(F.col("_tier") == 1, F.lit("below_floor_fills_track"))
+        .otherwise(F.lit("family_not_in_sweep"))
     )
     return (
-        allc.withColumn("lazy_rank", F.row_number().over(w).cast("int"))
-        .where(F.col("lazy_rank") <= top_n)
-        .select("lazy_rank", "lazy_model_name", "manual_family", reason.alias("eligibility_reason"), "lazy_roc_auc", "lazy_balanced_accuracy")
+        allc.withColumn("track_rank", F.row_number().over(w).cast("int"))
+        .where(F.col("track_rank") <= top_n)
+        .select("track_rank", "swept_model_name", "manual_family", reason.alias("eligibility_reason"), "swept_roc_auc", "swept_balanced_accuracy")
     )
 
 
@@ -496,8 +552,8 @@ def numeric_coerce_metrics(table: DataFrame, key_col: str, aliases: Mapping[str,
 # Search spaces per family (sampled uniformly, seeded).
 SEARCH_SPACE = {
     "logistic_regression": {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]},
-    "random_forest": {"numTrees": [20, 50, 100], "maxDepth": [4, 6, 8, 10], "minInstancesPerNode": [1, 3, 5]},
-    "xgboost": {"maxIter": [20, 40, 60], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1, 0.2]},
+    "random_forest": {"numTrees": [100, 200, 400], "maxDepth": [6, 10, 20, UNLIMITED_DEPTH], "minInstancesPerNode": [1, 2, 5]},
+    "xgboost": {"maxIter": [100, 300, 450], "maxDepth": [3, 4, 5], "stepSize": [0.03, 0.05, 0.1]},
 }
 
 
@@ -516,12 +572,15 @@ def budgeted_search(
     seed: int = 42,
     metric: str = "log_loss",
     threshold: float = 0.5,
-    max_trials: int = 30,
+    configs: Sequence[tuple[str, Mapping[str, Any]]] | None = None,
+    project: str = "churn",
 ) -> DataFrame:
     """Seeded random search over ``SEARCH_SPACE`` until the time budget is
-    spent (checked between fits). Each trial is scored on valid by log loss or
-    business cost at ``threshold``. Returns the trial table with
-    ``is_best`` per family and ``is_best_overall``."""
+    spent (checked between fits; one trial per family at least). ``configs``, a
+    list of (family, settings), is tried instead, whole and whatever the clock
+    says, so that its result can be repeated. Each trial is scored on valid by
+    log loss or business cost at ``threshold``. Returns the trial table (config
+    as JSON) with ``is_best`` per family and ``is_best_overall``."""
     spark = train.sparkSession
     xt = preprocessor.transform(train).withColumn("label", F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     xv = preprocessor.transform(valid).withColumn("label", F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -529,11 +588,14 @@ def budgeted_search(
     deadline = time.perf_counter() + budget_sec
     rows = []
     trial = 0
-    while trial < max_trials and (trial < len(families) or time.perf_counter() < deadline):
-        fam = families[trial % len(families)]
-        cfg = {k: rng.choice(v) for k, v in SEARCH_SPACE.get(fam, {}).items()}
+    while trial < len(configs) if configs is not None else trial < len(families) or time.perf_counter() < deadline:
+        if configs is not None:
+            fam, cfg = configs[trial][0], dict(configs[trial][1])
+        else:
+            fam = families[trial % len(families)]
+            cfg = {k: rng.choice(v) for k, v in SEARCH_SPACE.get(fam, {}).items()}
         t0 = time.perf_counter()
-        m = make_classifier(fam, seed, **cfg).fit(xt)
+        m = make_classifier(fam, seed, project=project, **cfg).fit(xt)
         sc = score_with(m, xv, "_s")
         if metric == "log_loss":
             loss = sc.agg(F.avg(log_loss_col(F.col("label"), F.col("_s")))).collect()[0][0]  # one row
@@ -544,7 +606,7 @@ def budgeted_search(
                 F.count_if((F.col("label") == 1) & (pred == 0)).alias("fn"), F.count(F.lit(1)).alias("n"),
             ).collect()[0]  # one row
             loss = (r.fp * 65.0 + r.fn * 320.0) / max(r.n, 1) * 1000.0
-        rows.append((trial, fam, str(sorted(cfg.items())), float(loss), time.perf_counter() - t0))
+        rows.append((trial, fam, json.dumps(cfg, sort_keys=True), float(loss), time.perf_counter() - t0))
         trial += 1
     xt.unpersist()
     xv.unpersist()
@@ -582,27 +644,31 @@ def compare_tune_calibrate_finalize(
     families: Sequence[str] = ("logistic_regression", "random_forest", "xgboost"),
     budget_sec: float = 20.0,
     seed: int = 42,
+    configs: Sequence[tuple[str, Mapping[str, Any]]] | None = None,
+    project: str = "churn",
 ) -> FinalModel:
     """Compare families by valid AUC, tune the best (keep the tuned config only
-    if its valid AUC is higher), Platt-calibrate, then refit on all training
-    rows (train + valid) and pick the cost-optimal threshold on valid."""
+    if its valid AUC is higher; ``configs`` as in ``budgeted_search``), calibrate
+    on train alone, and pick the cost-optimal threshold on valid, which no fit
+    has seen."""
     num, cat = split_roles(train, feature_cols)
     pre = build_preprocessor(train, num, cat)
-    sweep = sweep_families(train, valid, label_col, families, pre, seed)
+    sweep = sweep_families(train, valid, label_col, families, pre, seed, project)
     best = sweep.where("status = 'ok'").orderBy(F.col("roc_auc").desc_nulls_last(), "model_name").first()
     fam = best["model_name"]
     base_auc = best["roc_auc"]
-    trials = budgeted_search(train, valid, label_col, pre, [fam], budget_sec, seed)
+    own = None if configs is None else [c for c in configs if c[0] == fam]
+    trials = budgeted_search(train, valid, label_col, pre, [fam], budget_sec, seed, configs=own, project=project)
     cfg_row = trials.where("is_best").first()
-    cfg = dict(eval(cfg_row["config"])) if cfg_row else {}  # noqa: S307 - our own repr of a small dict
+    cfg = json.loads(cfg_row["config"]) if cfg_row else {}
     xt = pre.transform(train).withColumn("label", F.col(label_col).cast("double"))
     xv = pre.transform(valid).withColumn("label", F.col(label_col).cast("double"))
-    tuned = make_classifier(fam, seed, **cfg).fit(xt)
+    tuned = make_classifier(fam, seed, project=project, **cfg).fit(xt)
     tuned_auc = roc_auc(score_with(tuned, xv, "_s"), "label", "_s").collect()[0][0]  # one row
     use_cfg = cfg if (tuned_auc or 0) > (base_auc or 0) else {}
-    full = xt.unionByName(xv)
-    est = make_classifier(fam, seed, **use_cfg)
-    model: Any = platt_calibrate(full, est, "label", id_col, 3, seed) if fam in TREE_FAMILIES else est.fit(full)
+    weighted = wants_balanced_weights(fam, project)
+    est = make_classifier(fam, seed, weight_col="_w" if weighted else None, project=project, **use_cfg)
+    model: Any = platt_calibrate(balanced_weights(xt, "label") if weighted else xt, est, "label", id_col, 3, seed)
     fm = FinalModel(pre, model, fam, 0.5)
     scored_valid = fm.score(valid).withColumn("_y", F.col(label_col))
     thr = threshold_sweep(scored_valid, "_y", "score").where("is_best").first()
@@ -699,7 +765,7 @@ def seed_stability_churn(
                     rec = (ev["threshold"], ev["expected_cost_per_1000"], ev["average_precision"], ev["roc_auc"], ev["brier_score"])
                     status = "ok"
                 except Exception as e:  # noqa: BLE001 - recorded, not raised
-                    status = f"failed: {type(e).__name__}: {e}"[:300]
+                    status = f"failed: {type(e).__name__}: {e}"
             rows.append((cand_id, source, family, int(seed), status, *rec))
     xt.unpersist()
     return spark.createDataFrame(

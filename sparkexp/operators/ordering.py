@@ -9,22 +9,22 @@ table of per-partition counts and sums (at most one row per partition and
 group) gives each partition its offset; joined back, it yields exact global
 ranks and running totals.
 
-The ranged frame is materialised once (persisted, or checkpointed to the
-shared checkpoint folder) before its two consumers read it: two independent
-range exchanges would sample different bounds. The order inside a partition
-is total, so a lost cached block recomputed from the same shuffle gets the
-same ids.
+The ranged frame is written once to the shared checkpoint folder before its two
+consumers read it: two independent range exchanges would sample different
+bounds. Nothing stays cached, and lost executors cost no recomputation. Running
+sums are carried along inside the sorted partitions while it is written, so they
+need no second shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkexp.operators.joins import join_per_group
+from sparkexp.operators.joins import join_keys, join_per_group
 from sparkexp.session import cut_lineage
 
 _POS_MASK = (1 << 33) - 1
@@ -41,7 +41,7 @@ def _ranged(
     order: Sequence[Column],
     group_cols: Sequence[str],
     num_partitions: int | None,
-    materialize: str = "persist",
+    sum_cols: Sequence[str] = (),
 ) -> DataFrame:
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order)
     n = _num_partitions(df, num_partitions)
@@ -52,11 +52,39 @@ def _ranged(
         F.shiftright(F.col("_mid"), 33).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit(_POS_MASK)).alias("_pos"),
     ).drop("_mid")
-    if materialize == "checkpoint":
-        return cut_lineage(out)
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
+    if sum_cols:
+        schema = T.StructType(list(out.schema.fields))
+        for c in sum_cols:
+            schema = schema.add(f"_run_{c}", _sum_type(out.schema[c].dataType))
+        out = out.mapInArrow(_running(list(sum_cols), [schema[f"_run_{c}"].dataType for c in sum_cols]), schema)
+    return cut_lineage(out)
+
+
+def _sum_type(t: T.DataType) -> T.DataType:
+    return T.LongType() if isinstance(t, T.IntegralType) else T.DoubleType()
+
+
+def _running(cols: list[str], types: list[T.DataType]):
+    """Running sums over one sorted partition, batch by batch; NULL adds nothing."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        total = [0 if isinstance(t, T.LongType) else 0.0 for t in types]
+        for batch in batches:
+            arrays, names = list(batch.columns), list(batch.schema.names)
+            for i, (c, t) in enumerate(zip(cols, types, strict=True)):
+                kind = pa.int64() if isinstance(t, T.LongType) else pa.float64()
+                own = pc.fill_null(batch.column(c).cast(kind), 0)
+                cum = pc.add(pc.cumulative_sum(own), pa.scalar(total[i], kind))
+                if len(cum):
+                    total[i] = cum[-1].as_py()
+                arrays.append(cum)
+                names.append(f"_run_{c}")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return run
 
 
 def global_rank(
@@ -66,17 +94,18 @@ def global_rank(
     rank_col: str = "rank",
     sum_cols: Sequence[str] = (),
     num_partitions: int | None = None,
-    materialize: str = "persist",
 ) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order`` within each group).
 
     ``order`` must be a total order (end it with a unique key). When
     ``sum_cols`` is given, ``<col>_cum`` running sums (inclusive) are added as
-    well; those need one more, balanced, shuffle keyed by range partition.
+    well. Writes the sorted rows to the checkpoint folder when called.
     """
-    ranged = _ranged(df, order, group_cols, num_partitions, materialize)
+    ranged = _ranged(df, order, group_cols, num_partitions, sum_cols)
     aggs = [F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")]
     aggs += [F.sum(F.col(c)).alias(f"_s_{c}") for c in sum_cols]
+    # what the partition's earlier groups have added to the running sum
+    aggs += [F.min_by(F.col(f"_run_{c}") - F.coalesce(F.col(c), F.lit(0)), F.col("_pos")).alias(f"_b_{c}") for c in sum_cols]
     stats = ranged.groupBy("_pid", *group_cols).agg(*aggs)
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(
@@ -84,21 +113,18 @@ def global_rank(
         *group_cols,
         "_first",
         F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"),
-        *[F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+        *[(F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)) - F.col(f"_b_{c}")).alias(f"_o_{c}") for c in sum_cols],
     )
     # At most one row per (partition, group): bounded by the partition count
-    # when ungrouped, so broadcasting it is safe; grouped, it is broadcast
-    # after a row-count check (else a null-safe shuffle join).
+    # when ungrouped, so broadcasting it is safe; grouped, Spark chooses.
     if group_cols:
         j = join_per_group(ranged, stats, ["_pid", *group_cols])
     else:
         j = ranged.join(F.broadcast(stats), "_pid", "inner")
     out = j.withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(1))
-    if sum_cols:
-        wp = Window.partitionBy("_pid", *group_cols).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-        for c in sum_cols:
-            out = out.withColumn(f"{c}_cum", F.col(f"_o_{c}") + F.sum(F.col(c)).over(wp))
-    drop = ["_pid", "_pos", "_first", "_off", *[f"_o_{c}" for c in sum_cols]]
+    for c in sum_cols:
+        out = out.withColumn(f"{c}_cum", F.col(f"_o_{c}") + F.col(f"_run_{c}"))
+    drop = ["_pid", "_pos", "_first", "_off", *[f"_{x}_{c}" for c in sum_cols for x in ("o", "run")]]
     return out.drop(*drop)
 
 
@@ -124,7 +150,7 @@ def exact_quantiles(
     long = df.select(*group_cols, F.inline(pairs)).where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
     keys = [*group_cols, "feature"]
     # reduced data, read by the range sampler, the ranking and the counts
-    dist = long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    dist = cut_lineage(long.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     return quantiles_from_counts(dist, keys, probs, group_cols, num_partitions)
 
 
@@ -155,7 +181,7 @@ def quantiles_from_counts(
     )
     # one row per (group, feature) holding its <= len(probs) targets
     tarr = targets.groupBy(*keys).agg(F.collect_list(F.struct("q_index", "_lo", "_hi")).alias("_t"))
-    j = cum.join(F.broadcast(tarr), keys, "inner") if not group_cols else join_per_group(cum, tarr, keys)
+    j = join_per_group(cum, tarr, keys)
     start = F.col("_c_cum") - F.col("_c")
 
     def covers(t, pos: str):
@@ -174,7 +200,7 @@ def quantiles_from_counts(
         .groupBy(*keys, "q_index")
         .agg(F.max("_l").alias("_vlo"), F.max("_u").alias("_vhi"))
     )
-    res = targets.join(vals, [*keys, "q_index"], "left")
+    res = join_keys(targets, vals, [*keys, "q_index"], "left")
     frac = F.col("_h") - F.floor("_h")
     # NumPy's lerp: a + (b-a)*t, or b - (b-a)*(1-t) when t >= 0.5
     diff = F.col("_vhi") - F.col("_vlo")

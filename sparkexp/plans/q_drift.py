@@ -127,6 +127,14 @@ def recent_sql() -> str:
 FROM (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{CUT}' ORDER BY {u}, o_orderkey LIMIT 250) AS s)"""
 
 
+def _all_recent(spark, sf_dir):
+    """Every late order, prices inflated as in the drifted batch."""
+    _, late = _orders(spark, sf_dir)
+    return late.withColumn("o_totalprice", F.col("o_totalprice") * 1.08)
+
+
+ALL_RECENT = f"""(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 1.08 AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderdate >= TIMESTAMP '{CUT}')"""
 ORD_EXP = f"(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}')"
 
 
@@ -146,7 +154,7 @@ def q_sample_n(spark, sf_dir):
 
 
 def drift_table_sql() -> str:
-    rec = recent_sql()
+    rec = ALL_RECENT
     return f"""
 WITH d AS (
   SELECT feature AS feature_name, 'numeric' AS feature_type, psi AS drift_score FROM ({psi_sql(ORD_EXP, rec, ['o_totalprice'])}) AS p
@@ -159,18 +167,18 @@ SELECT *, {level_sql('drift_score')} AS drift_level FROM d
 @register("drift_table", drift_table_sql(), ["drift_score"])
 def q_drift_table(spark, sf_dir):
     early, _ = _orders(spark, sf_dir)
-    return dr.drift_table(early.select(*ORD_COLS), _recent(spark, sf_dir).select(*ORD_COLS))
+    return dr.drift_table(early.select(*ORD_COLS), _all_recent(spark, sf_dir).select(*ORD_COLS))
 
 
 @register("drift_level", f"SELECT feature_name, drift_level FROM ({drift_table_sql()}) AS d")
 def q_drift_level(spark, sf_dir):
     early, _ = _orders(spark, sf_dir)
-    t = dr.drift_table(early.select(*ORD_COLS), _recent(spark, sf_dir).select(*ORD_COLS))
+    t = dr.drift_table(early.select(*ORD_COLS), _all_recent(spark, sf_dir).select(*ORD_COLS))
     return t.select("feature_name", dr.drift_level(F.col("drift_score")).alias("drift_level"))
 
 
 def monitoring_sql() -> str:
-    rec = recent_sql()
+    rec = ALL_RECENT
     return f"""
 WITH d AS ({drift_table_sql()}),
 sc AS (SELECT count(*) AS recent_samples, avg(least(o_totalprice / 500000.0, 1.0)) AS mean_probability,
@@ -189,7 +197,7 @@ FROM x
 @register("monitoring_report", monitoring_sql(), ["mean_probability", "high_risk_rate", "high_drift_ratio"])
 def q_monitoring(spark, sf_dir):
     early, _ = _orders(spark, sf_dir)
-    recent = _recent(spark, sf_dir)
+    recent = _all_recent(spark, sf_dir)
     prob = F.least(F.col("o_totalprice") / 500000.0, F.lit(1.0))
     scored = recent.select(prob.alias("churn_probability"), (prob >= 0.5).cast("int").alias("predicted_label"))
     drift = dr.drift_table(early.select(*ORD_COLS), recent.select(*ORD_COLS))

@@ -116,7 +116,7 @@ c AS (SELECT * FROM (SELECT
    corr(CAST(time_on_page_s AS DOUBLE), CAST(converted AS DOUBLE)) AS time_on_page_s FROM e) AS a
    UNPIVOT (target_corr FOR "column" IN (unit_id, treatment, c_nationkey, o_totalprice, c_acctbal, score, arm3, purchase_amount, time_on_page_s)))
 SELECT f."column", f.is_potential_leakage,
-       CASE WHEN f.is_potential_leakage THEN 'post-treatment behavioral signal' ELSE 'kept as pre-treatment / neutral' END AS reason,
+       CASE WHEN f.is_potential_leakage THEN 'name_suggests_outcome' ELSE 'name_is_neutral' END AS reason,
        c.target_corr
 FROM f LEFT JOIN c USING ("column")
 """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sparkexp.operators.clean import align_columns
 from sparkexp.operators.models import FinalModel
 
 
@@ -30,10 +31,13 @@ def score_stream(
     keep: Sequence[str] = (),
     threshold: float | None = None,
     source: str = "spark",
+    expected: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """The batch scoring transform applied to a streaming DataFrame."""
+    """The batch scoring transform applied to a streaming DataFrame, after the
+    same schema alignment: with ``expected``, a missing column is NULL."""
     thr = float(model.threshold if threshold is None else threshold)
-    scored = model.score(stream, "churn_probability")
+    x = stream.select(*keep, *align_columns(stream, expected)) if expected else stream
+    scored = model.score(x, "churn_probability")
     return scored.select(
         *keep,
         "churn_probability",
@@ -45,11 +49,14 @@ def score_stream(
 
 
 def windowed_monitoring(
-    scored: DataFrame, ts_col: str, window: str = "1 day", watermark: str = "1 hour", group_cols: Sequence[str] = ()
+    scored: DataFrame, ts_col: str, window: str = "1 day", watermark: str | None = "1 hour", group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Tumbling-window monitoring counts: rows, mean probability, high-risk rate."""
+    """Tumbling-window monitoring counts: rows, mean probability, high-risk rate.
+
+    A watermark bounds the state and drops rows that come later than it allows;
+    None keeps every window open, for sources in no order of time."""
     return (
-        scored.withWatermark(ts_col, watermark)
+        (scored.withWatermark(ts_col, watermark) if watermark else scored)
         .groupBy(F.window(ts_col, window).alias("window"), *group_cols)
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -59,6 +66,28 @@ def windowed_monitoring(
     )
 
 
+def run_windowed(df: DataFrame, sink_path: str, checkpoint: str) -> StreamingQuery:
+    """Run a windowed aggregate to the end of what is available. Every micro-batch
+    writes the windows it changed to a folder of its own (a repeated batch
+    overwrites it); ``latest_windows`` reads the last state of each. Windows that
+    are still open at the end are there too, unlike in append mode."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+
+    q = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def latest_windows(spark: SparkSession, sink_path: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The last written state of each window and group."""
+    t = spark.read.parquet(sink_path)
+    cols = [c for c in t.columns if c != "batch_id"]
+    last = t.groupBy("window", *group_cols).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
+    return last.select("r.*")
+
+
 def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet", mode: str = "append") -> StreamingQuery:
     """Process everything available, then stop (no ports, no long-running server)."""
     q = (

@@ -197,10 +197,13 @@ def test_join_per_group_both_paths_and_null_keys(spark):
     big = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, None, 3.0), (4, "b", 4.0), (5, "z", 5.0)], "id int, g string, v double")
     small = spark.createDataFrame([("a", 10), (None, 30), ("b", 20)], "g string, t int")
     want = [(1, "a", 1.0, 10), (2, "a", 2.0, 10), (3, None, 3.0, 30), (4, "b", 4.0, 20)]
-    for max_rows in (100, 0):  # broadcast, then shuffle join
-        out = join_per_group(big, small, ["g"], max_rows=max_rows)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (old, "-1"):  # broadcast, then shuffle join
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        out = join_per_group(big, small, ["g"])
         assert out.columns == ["id", "g", "v", "t"]
         assert sorted(tuple(r) for r in out.collect()) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     one = spark.createDataFrame([(7,)], "t int")
     assert sorted(r.t for r in join_per_group(big, one, []).collect()) == [7] * 5
 
