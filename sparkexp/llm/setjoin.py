@@ -10,7 +10,8 @@ also indexes each subset's one-deletion neighbourhood; a cost estimate per band
 decides. Subset schemes have spare segments, which lets every set leave out its
 most frequent subsets (passages that many texts share) without losing a link.
 
-Equal sets count as one class throughout. Classes that share a signature are
+Equal sets count as one class throughout, numbered by 64 bits of the set that are
+checked against 64 others. Classes that share a signature are
 candidates. Links only matter for reachability, so candidates are verified in
 three rounds: with the smallest class they share most signatures with, with
 the other smallest classes of their signatures, and then with all classes of
@@ -96,10 +97,10 @@ def shingle_sets(batch: pa.RecordBatch, n: int):
     return np.concatenate(vals), np.append(0, np.cumsum(sizes)).astype(np.int64)
 
 
-def fingerprints(vals: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each set, whatever the order: sums of two mixes."""
+def fingerprints(vals: np.ndarray, off: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit numbers of each set, whatever the order: sums of two mixes."""
     out = []
-    for salt in (0x51ED270B35B1C2A7, 0x2545F4914F6CDD1D):
+    for salt in (0x51ED270B35B1C2A7 + seed, 0x2545F4914F6CDD1D):
         c = np.append(U(0), np.cumsum(mix(vals ^ U(salt)) if len(vals) else vals))
         out.append(mix((c[off[1:]] - c[off[:-1]]) + np.diff(off).astype(U)).view(np.int64))
     return out[0], out[1]
@@ -130,22 +131,21 @@ def signatures(sets: np.ndarray, rule: Rule, band: int) -> tuple[np.ndarray, int
     return np.unique((sig >> U(17) << U(17)) | U((band & 1) << 16)), empty
 
 
-def _describe(n: int):
+def _describe(n: int, seed: int):
     def run(batches):
         for batch in batches:
             vals, off = shingle_sets(batch, n)
-            f1, f2 = fingerprints(vals, off)
-            yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("rid"), pa.array(np.diff(off)), pa.array(f1), pa.array(f2)], names=["did", "rid", "size", "f1", "f2"])
+            f1, f2 = fingerprints(vals, off, seed)
+            yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("rid"), pa.array(np.diff(off)), pa.array(f1), pa.array(f2)], names=["did", "rid", "size", "cls", "check"])
 
     return run
 
 
-def _class_signatures(rule: Rule):
+def _class_signatures(rule: Rule, seed: int):
     def extract(batch):
         vals, off = shingle_sets(batch, rule.n)
-        f1, f2 = fingerprints(vals, off)
-        # Equal sets count once in a block.
-        first = np.unique(np.stack([f1, f2]), axis=1, return_index=True)[1] if len(f1) else np.zeros(0, np.int64)
+        cls, _ = fingerprints(vals, off, seed)
+        first = np.unique(cls, return_index=True)[1]  # equal sets count once in a block
         hs, ds = [np.zeros(0, U)], [np.zeros(0, np.int64)]
         for i in first:
             own = vals[off[i] : off[i + 1]]
@@ -155,7 +155,7 @@ def _class_signatures(rule: Rule):
                     h, _ = signatures(own, rule, scheme)
                     hs.append(h)
                     ds.append(np.full(len(h), i))
-        return np.concatenate(hs), np.concatenate(ds), f1, f2
+        return np.concatenate(hs), np.concatenate(ds), None, cls
 
     return extract
 
@@ -167,44 +167,50 @@ def _keep_rare(rule: Rule):
     def run(batches):
         for batch in batches:
             out_c, out_s, out_n = [], [], []
-            cols = [batch.column(c).to_pylist() for c in ("cls", "size", "sigs", "freqs", "sets")]
-            for cls, size, sigs, freqs, own in zip(*cols, strict=True):
-                own = np.frombuffer(own, U)
+            cols = [batch.column(c).to_pylist() for c in ("cls", "size", "empty0", "empty1", "sigs", "freqs")]
+            for cls, size, e0, e1, sigs, freqs in zip(*cols, strict=True):
                 sigs, freqs = np.array(sigs, np.int64).view(U), np.array(freqs, np.int64)
                 b = rule.band(size)
-                for scheme in (b, b + 1):
+                for scheme, empty in ((b, e0), (b + 1, e1)):
                     mine = (sigs >> U(16) & U(1)) == U(scheme & 1)
-                    _, empty = signatures(own, rule, scheme)
                     drop = rule.scheme(scheme)[1] - empty
-                    o = np.lexsort((sigs[mine], -freqs[mine]))[max(0, drop) :]
-                    kept = sigs[mine][o]
+                    kept = sigs[mine][np.lexsort((sigs[mine], -freqs[mine]))[max(0, drop) :]]
                     out_s.append(kept.view(np.int64))
                     out_c += [cls] * len(kept)
                     out_n += [size] * len(kept)
-            s = np.concatenate(out_s) if out_s else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(out_c, pa.binary()), pa.array(s), pa.array(out_n, pa.int64())], names=["cls", "sig", "size"])
+            sig = np.concatenate(out_s) if out_s else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(out_c, pa.int64()), pa.array(sig), pa.array(out_n, pa.int64())], names=["cls", "sig", "size"])
 
     return run
 
 
-def _linked(percent: int):
+def _linked(percent: int, n: int):
+    """Pairs whose sets, made anew from the texts, link. Sizes alone rule most of
+    the others out."""
+
     def run(batches):
         for batch in batches:
+            sets = []
+            for side in ("x", "y"):
+                text = [pa.decompress(z, k, codec="zstd", asbytes=True) for z, k in zip(batch.column(side).to_pylist(), batch.column(f"{side}_len").to_pylist(), strict=True)]
+                vals, off = shingle_sets(pa.RecordBatch.from_arrays([pa.array(text, pa.binary()).cast(pa.string())], names=["text"]), n)
+                sets.append([vals[a:b] for a, b in zip(off[:-1], off[1:], strict=True)])
             ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+            for x, y in zip(*sets, strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["v", "u"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs u, v whose sets link."""
-    x = sets.select(F.col("cls").alias("u"), F.col("sets").alias("x"))
-    y = sets.select(F.col("cls").alias("v"), F.col("sets").alias("y"))
-    return pairs.select("u", "v").join(x, "u").join(y, "v").mapInArrow(_linked(percent), "u binary, v binary")
+    side = lambda c, name: sets.select(F.col("cls").alias(c), F.col("size").alias(f"{name}_size"), F.col("z").alias(name), F.col("len").alias(f"{name}_len"))
+    j = pairs.select("u", "v").join(side("u", "x"), "u")
+    j = j.join(side("v", "y"), "v")
+    fits = (F.col("x_size") * 100 >= F.col("y_size") * rule.percent) & (F.col("y_size") * 100 >= F.col("x_size") * rule.percent)
+    return j.where(fits).mapInArrow(_linked(rule.percent, rule.n), "v long, u long").select("u", "v")
 
 
 def _components(edges: DataFrame) -> DataFrame:
@@ -217,31 +223,32 @@ def _with_comp(k: DataFrame, comp: DataFrame, cls: str, out: str) -> DataFrame:
     return j.withColumn(out, F.coalesce(out, cls))
 
 
-def link_classes(src: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
+def link_classes(src: DataFrame, described: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """cls, comp for every class of equal sets that links with another."""
-    percent = rule.percent
-    seeds = anchors.shared_seeds(src.select("did", "rid", "text"), _class_signatures(rule), True)
-    long = seeds.mapInArrow(_explode_seeds, "cls binary, sig long").distinct()
-    freq = long.groupBy("sig").agg(F.count("*").alias("freq")).where("freq > 1")
-    shared = cut_lineage(long.join(freq, "sig"))
-    wanted = shared.select("cls").distinct()
-    rep = described.groupBy("cls").agg(F.min(F.struct("did", "rid")).alias("r")).join(wanted, "cls")
+    seeds = anchors.shared_seeds(src, _class_signatures(rule, seed), True).select(F.col("rid").alias("cls"), "a")
+    # Each class's signatures once, then how many classes have each.
+    own = seeds.groupBy("cls").agg(F.collect_list("a").alias("a")).mapInArrow(_distinct_seeds, "cls long, sig long")
+    own = cut_lineage(own)
+    freq = own.groupBy("sig").agg(F.count("*").alias("freq")).where("freq > 1")
+    shared = cut_lineage(own.join(freq, "sig").groupBy("cls").agg(F.collect_list("sig").alias("sigs"), F.collect_list("freq").alias("freqs")))
+    # The text of one row stands for its class, compressed before it is shuffled.
+    rep = described.groupBy("cls").agg(F.min(F.struct("did", "rid")).alias("r")).join(shared.select("cls"), "cls")
     rep = rep.select("cls", F.col("r.did").alias("r_did"), F.col("r.rid").alias("r_rid"))
-    texts = src.join(rep, (F.col("did") == F.col("r_did")) & (F.col("rid") == F.col("r_rid"))).select("cls", "text")
-    sets = cut_lineage(texts.dropDuplicates(["cls"]).mapInArrow(_sets(rule.n), "cls binary, size long, sets binary"))
+    z = src.mapInArrow(_compressed, "did long, rid long, z binary, len long")
+    texts = z.join(rep, (F.col("did") == F.col("r_did")) & (F.col("rid") == F.col("r_rid"))).select("cls", "z", "len")
+    sets = cut_lineage(texts.mapInArrow(_sets(rule), "cls long, size long, empty0 long, empty1 long, z binary, len long").dropDuplicates(["cls"]))
 
-    per_class = shared.groupBy("cls").agg(F.collect_list(F.struct("sig", "freq")).alias("s"))
-    per_class = per_class.join(sets, "cls").select("cls", "size", F.col("s.sig").alias("sigs"), F.col("s.freq").alias("freqs"), "sets")
-    k = cut_lineage(per_class.mapInArrow(_keep_rare(rule), "cls binary, sig long, size long"))
+    per_class = shared.join(sets.select("cls", "size", "empty0", "empty1"), "cls")
+    k = cut_lineage(per_class.mapInArrow(_keep_rare(rule), "cls long, sig long, size long"))
 
     star = k.groupBy("sig").agg(F.min("cls").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
     hub = k.join(star, "sig").where("cls <> v").groupBy(F.col("cls").alias("u"), "v").agg(F.count("*").alias("n"))
     hub = cut_lineage(hub)
     best = hub.groupBy("u").agg(F.max(F.struct("n", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
-    e1 = cut_lineage(_verify(best, sets, percent))
+    e1 = cut_lineage(_verify(best, sets, rule))
     comp = _components(e1)
     rest = _with_comp(_with_comp(hub.join(best, ["u", "v"], "left_anti"), comp, "u", "cu"), comp, "v", "cv").where("cu <> cv")
-    e2 = cut_lineage(e1.union(_verify(rest, sets, percent)))
+    e2 = cut_lineage(e1.union(_verify(rest, sets, rule)))
     comp = _components(e2)
 
     # Signatures whose classes are still in several components.
@@ -250,40 +257,45 @@ def link_classes(src: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
     kc = cut_lineage(kc.join(open_, "sig"))
     x = kc.select("sig", F.col("cls").alias("u"), F.col("comp").alias("cu"), F.col("size").alias("nu"))
     y = kc.select("sig", F.col("cls").alias("v"), F.col("comp").alias("cv"), F.col("size").alias("nv"))
-    fits = (F.col("nu") * 100 >= F.col("nv") * percent) & (F.col("nv") * 100 >= F.col("nu") * percent)
+    fits = (F.col("nu") * 100 >= F.col("nv") * rule.percent) & (F.col("nv") * 100 >= F.col("nu") * rule.percent)
     cross = x.join(y, "sig").where((F.col("u") > F.col("v")) & (F.col("cu") != F.col("cv")) & fits)
     cross = cross.select("u", "v").distinct().join(hub, ["u", "v"], "left_anti")
-    e3 = e2.union(_verify(cross, sets, percent))
+    e3 = e2.union(_verify(cross, sets, rule))
     return _components(e3)
 
 
-def _explode_seeds(batches):
+def _distinct_seeds(batches):
+    for batch in batches:
+        own = [np.unique(anchors.unpack(b"".join(x))) for x in batch.column("a").to_pylist()]
+        sig = np.concatenate(own) if own else np.zeros(0, U)
+        cls = np.repeat(np.asarray(batch.column("cls"), dtype=np.int64), [len(x) for x in own])
+        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(sig.view(np.int64))], names=["cls", "sig"])
+
+
+def _compressed(batches):
     for batch in batches:
-        blobs = batch.column("a").to_pylist()
-        n = np.array([len(b) // 6 for b in blobs], np.int64)
-        f = [np.repeat(np.asarray(batch.column(c), dtype=np.int64), n) for c in ("did", "rid")]
-        key = np.stack(f, axis=1).tobytes() if len(n) else b""
-        cls = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), int(n.sum()), [None, pa.py_buffer(key)]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([cls, pa.array(anchors.unpack(b"".join(blobs)).view(np.int64))], names=["cls", "sig"])
+        raw = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        z = [pa.compress(t, codec="zstd", asbytes=True) for t in raw]
+        yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("rid"), pa.array(z, pa.binary()), pa.array([len(t) for t in raw], pa.int64())], names=["did", "rid", "z", "len"])
 
 
-def _sets(n: int):
+def _sets(rule: Rule):
+    """Size of each class's set and the empty segments in its two schemes."""
+
     def run(batches):
         for batch in batches:
-            vals, off = shingle_sets(batch, n)
-            blobs = [vals[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(np.diff(off)), pa.array(blobs, pa.binary())], names=["cls", "size", "sets"])
+            text = [pa.decompress(z, k, codec="zstd", asbytes=True) for z, k in zip(batch.column("z").to_pylist(), batch.column("len").to_pylist(), strict=True)]
+            vals, off = shingle_sets(pa.RecordBatch.from_arrays([pa.array(text, pa.binary()).cast(pa.string())], names=["text"]), rule.n)
+            size, empty = np.diff(off), []
+            for i, s in enumerate(size.tolist()):
+                b = rule.band(s) if s else 0
+                empty.append([signatures(vals[off[i] : off[i + 1]], rule, x)[1] if s else 0 for x in (b, b + 1)])
+            e = np.array(empty, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(size), pa.array(e[:, 0]), pa.array(e[:, 1]), batch.column("z"), batch.column("len")], names=["cls", "size", "empty0", "empty1", "z", "len"])
 
     return run
 
 
-def _class_key(batches):
-    for batch in batches:
-        f = [np.asarray(batch.column(c), dtype=np.int64) for c in ("f1", "f2")]
-        cls = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), batch.num_rows, [None, pa.py_buffer(np.stack(f, axis=1).tobytes())]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("did", "rid", "size")], cls], names=["did", "rid", "size", "cls"])
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
     """``did, rid, n_shingles, component_id`` per row: component_id is the smallest
     id reachable by links, the row's own included.
@@ -297,9 +309,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rule = Rule(percent, n)
     src = anchors.sources(docs, id_col, text_col)
-    d = src.mapInArrow(_describe(n), "did long, rid long, size long, f1 long, f2 long").mapInArrow(_class_key, "did long, rid long, size long, cls binary")
-    d = cut_lineage(d)
-    comp = link_classes(src, d, rule)
+    seed = 0
+    while True:
+        d = cut_lineage(src.mapInArrow(_describe(n, seed), "did long, rid long, size long, cls long, check long"))
+        # Two different sets with one class number: number the classes anew.
+        mixed = d.groupBy("cls").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b")
+        if not mixed.limit(1).count():
+            break
+        seed += 1
+    comp = link_classes(src, d.drop("check"), rule, seed)
     d = _with_comp(d, comp, "cls", "comp")
     low = d.groupBy("comp").agg(F.min("did").alias("low"))
     j = d.join(low, "comp")
