@@ -294,3 +294,11 @@ def test_results_do_not_depend_on_partitions(spark):
     for f in (lambda x: dedup_words(x, length=20).drop("starts", "ends"), lambda x: dedup_bytes(x, length=30).select("doc_id", F.sha2("kept", 256), "n_removed")):
         a, b = (order([tuple(r) for r in f(d.repartition(n)).collect()]) for n in (1, 17))
         assert a == b
+
+
+def test_suffix_compare_takes_any_seed_hash():
+    from sparkexp.llm.suffix_dedup import _compare
+
+    a, b = b"x" * 10 + bytes(range(65, 105)), bytes(range(65, 105)) + b"y" * 10
+    h = np.array([2**64 - 5, 2**64 - 5], np.uint64)
+    assert list(_compare(40)(h, [1, 2], [a, b])) == [(1, 0, 1)]
