@@ -14,7 +14,9 @@ travel. The steps:
 3. ``spans``: rows with such seeds send the spans around them to the seed's
    bucket, again once per block and distinct text;
 4. the caller's function compares the spans of each bucket, token by token, and
-   reports token intervals per row.
+   reports token intervals: one entry per bucket and group of rows, in which each
+   row's touching intervals are one;
+5. the groups of rows put the intervals of all buckets together, row by row.
 
 Blocks are Arrow batches of one task; a block's outcome does not depend on how
 rows are batched, only the amount of traffic does.
@@ -298,13 +300,76 @@ def _shared_seeds(table: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-SPAN_ROWS = "bucket int, did binary, rid binary, a binary, b binary, h binary, n binary, spans binary"
+SPAN_ROWS = "bucket int, n int, did binary, rid binary, at binary, a binary, b binary, h binary, lens binary, spans binary"
+PACKED = "bucket int, n int, did binary, rid binary, at binary, a binary, b binary"
 INTERVALS = "did long, rid long, a binary, b binary"
-_SPAN_SCHEMA = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("did", "rid", "a", "b", "h", "n", "spans")]])
+_SPAN_SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), *[(c, pa.binary()) for c in ("did", "rid", "at", "a", "b", "h", "lens", "spans")]])
+_PACKED_SCHEMA = pa.schema(list(_SPAN_SCHEMA)[:7])
 #: First word of a span that stands for spans settled in their block.
 MARK = -1
 
 
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers, their lowest bytes first, then the next ones, compressed."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unsqueeze(z: bytes, n: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(z, n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+
+
+def _pack_places(row: np.ndarray, dids: np.ndarray, rids: np.ndarray, a: np.ndarray) -> list:
+    """Cells n, did, rid, at, a: each row's key once, and the places ``a`` in them."""
+    used, at = np.unique(row, return_inverse=True)
+    return [len(row), squeeze(dids[used]), rids[used].tobytes(), squeeze(np.diff(at, prepend=0).astype(np.int32)), squeeze(a.astype(np.int32))]
+
+
+def _unpack_places(x: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rid = np.frombuffer(x["rid"], np.int64)
+    at = np.cumsum(unsqueeze(x["at"], x["n"], np.int32))
+    return unsqueeze(x["did"], len(rid), np.int64)[at], rid[at], unsqueeze(x["a"], x["n"], np.int32)
+
+
+def _unpack_intervals(x: dict) -> tuple[np.ndarray, ...]:
+    did, rid, a = _unpack_places(x)
+    return did, rid, a, a + unsqueeze(x["b"], x["n"], np.int32)
+
+
+def merged(did: np.ndarray, rid: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The intervals by row, touching ones of a row as one."""
+    if not len(did):
+        return did, rid, a, b
+    o = np.lexsort((a, rid, did))
+    did, rid, a, b = did[o], rid[o], a[o].astype(np.int64), b[o].astype(np.int64)
+    row = np.cumsum(np.r_[False, (did[1:] != did[:-1]) | (rid[1:] != rid[:-1])]) << 32
+    end = np.maximum.accumulate(row + b)
+    new = np.flatnonzero(np.r_[True, (row + a)[1:] > end[:-1]])
+    return did[new], rid[new], a[new], end[np.append(new[1:], len(end)) - 1] - row[new]
+
+
+def _pack_intervals(found: list[tuple], n_buckets: int) -> pa.Table:
+    """Intervals dealt to the groups of rows, one entry for each."""
+    rows = []
+    if found:
+        did, rid, a, b = merged(*map(np.concatenate, zip(*found, strict=True)))
+        group = rid % n_buckets
+        o = np.argsort(group, kind="stable")
+        for part in np.split(o, np.flatnonzero(np.diff(group[o])) + 1) if len(o) else []:
+            row = np.cumsum(np.r_[False, (did[part][1:] != did[part][:-1]) | (rid[part][1:] != rid[part][:-1])])
+            first = part[np.unique(row, return_index=True)[1]]
+            rows.append((int(group[part[0]]), *_pack_places(row, did[first], rid[first], a[part]), squeeze((b - a)[part].astype(np.int32))))
+    return pa.Table.from_pylist([dict(zip(_PACKED_SCHEMA.names, r, strict=True)) for r in rows], schema=_PACKED_SCHEMA)
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """The intervals of all buckets in one group of rows, row by row."""
+    did, rid, a, b = merged(*map(np.concatenate, zip(*map(_unpack_intervals, table.to_pylist()), strict=True)))
+    return _by_row(did, rid, a.astype(np.int32), b.astype(np.int32))
+
+
 def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
     """``settle(places)`` decides what one block knows about equal spans: from a
     list of (did, ...) it returns (indices that repeat for sure, indices to send,
@@ -339,8 +404,8 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
                     send.append(((at[0][0], MARK, *at[0][2:]), span))
             if sure:
                 x = np.array([x[:3] for x in sure], np.int64)
-                ends = x[:, 1] + x[:, 2] + k - 1
-                yield row(int(rids[x[0, 0]]) % n_buckets, dids[x[:, 0]], rids[x[:, 0]], x[:, 1], ends, b"", b"", b"")
+                places = _pack_places(x[:, 0], dids, rids, x[:, 1])
+                yield row(int(rids[x[0, 0]]) % n_buckets, places, squeeze((x[:, 2] + k - 1).astype(np.int32)), b"", b"", b"")
             h = np.array([x[3] for x, _ in send], U)
             bucket = (h >> U(33)) % U(n_buckets)
             order = np.argsort(bucket, kind="stable")
@@ -348,13 +413,14 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
             for part in np.split(order, cut[1:]) if len(order) else []:
                 x = np.array([send[j][0][:2] for j in part], np.int64)
                 spans = [send[j][1] for j in part]
-                data = b"".join(spans)
                 lens = np.array([len(z) for z in spans], np.int32)
-                yield row(int(bucket[part[0]]), dids[x[:, 0]], rids[x[:, 0]], x[:, 1], None, h[part].tobytes(), lens.tobytes(), pa.compress(data, codec="zstd", asbytes=True))
+                # In a bucket 32 bits tell seeds apart; the spans are compared anyway.
+                low = h[part].astype(np.uint32)
+                yield row(int(bucket[part[0]]), _pack_places(x[:, 0], dids, rids, x[:, 1]), None, low.tobytes(), squeeze(lens), pa.compress(b"".join(spans), codec="zstd", asbytes=True))
 
-    def row(bucket, did, rid, a, b, *rest):
-        cells = [did.tobytes(), rid.tobytes(), a.astype(np.int32).tobytes(), None if b is None else b.astype(np.int32).tobytes(), *rest]
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]], schema=_SPAN_SCHEMA)
+    def row(bucket, places, *rest):
+        cells = [bucket, *places, *rest]
+        return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, _SPAN_SCHEMA, strict=True)], schema=_SPAN_SCHEMA)
 
     return run
 
@@ -379,21 +445,22 @@ def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, set
     ``compare(h, did, spans)`` gets the spans of one bucket (did None: a mark) and
     yields (index, first window, number of windows) of what repeats.
     """
+    n_buckets = bucket_count(src)
     shared = shared_seeds(src, window_seeds(tokens, k, m), by_row).groupBy("rid").agg(F.collect_list("a").alias("shared"))
-    spans = _join(src, shared).mapInArrow(_span_rows(tokens, k, m, bucket_count(src), settle), SPAN_ROWS)
+    spans = _join(src, shared).mapInArrow(_span_rows(tokens, k, m, n_buckets, settle), SPAN_ROWS)
 
     def bucket(table: pa.Table) -> pa.Table:
         out, h, did, rid, first, texts = [], [], [], [], [], []
         for x in table.to_pylist():
-            d, r, a = np.frombuffer(x["did"], np.int64), np.frombuffer(x["rid"], np.int64), np.frombuffer(x["a"], np.int32)
             if x["b"] is not None:
-                out.append(_by_row(d, r, a, np.frombuffer(x["b"], np.int32)))
+                out.append(_unpack_intervals(x))
                 continue
-            lens = np.frombuffer(x["n"], np.int32)
+            d, r, a = _unpack_places(x)
+            lens = unsqueeze(x["lens"], x["n"], np.int32)
             data = pa.decompress(x["spans"], int(lens.sum()), codec="zstd", asbytes=True)
             cut = np.cumsum(lens).tolist()
             texts += [data[i:j] for i, j in zip([0, *cut], cut, strict=False)]
-            h.append(np.frombuffer(x["h"], U))
+            h.append(np.frombuffer(x["h"], np.uint32))
             did.append(d)
             rid.append(r)
             first.append(a)
@@ -404,11 +471,10 @@ def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, set
             if got:
                 g = np.array(got, np.int64)
                 at = first[g[:, 0]] + g[:, 1]
-                out.append(_by_row(did[g[:, 0]], rid[g[:, 0]], at.astype(np.int32), (at + g[:, 2] + k - 1).astype(np.int32)))
-        none = pa.array([], pa.int64())
-        return pa.concat_tables(out or [pa.table([none, none, pa.array([], pa.binary()), pa.array([], pa.binary())], names=["did", "rid", "a", "b"])])
+                out.append((did[g[:, 0]], rid[g[:, 0]], at, at + g[:, 2] + k - 1))
+        return _pack_intervals(out, n_buckets)
 
-    return spans.groupBy("bucket").applyInArrow(bucket, INTERVALS)
+    return spans.groupBy("bucket").applyInArrow(bucket, PACKED).groupBy("bucket").applyInArrow(_gather, INTERVALS)
 
 
 def covered(src: DataFrame, intervals: DataFrame) -> DataFrame:
