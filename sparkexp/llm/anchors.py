@@ -10,7 +10,8 @@ travel. The steps:
    A seed that is already shared inside the block is reported for its rows at
    once and sent without rows, so a seed that a third of all rows hold costs one
    entry per block.
-2. the buckets report back, per row, the seeds that also occur elsewhere;
+2. the buckets report back the seeds that also occur elsewhere, one entry per
+   bucket and group of rows; the groups put them together, row by row;
 3. ``spans``: rows with such seeds send the spans around them to the seed's
    bucket, again once per block and distinct text;
 4. the caller's function compares the spans of each bucket, token by token, and
@@ -274,37 +275,55 @@ def _by_row(did: np.ndarray, rid: np.ndarray, *values: np.ndarray) -> pa.Table:
     return pa.table([pa.array(did[cut]), pa.array(rid[cut]), *[_ragged(v[o], ends) for v in values]], names=["did", "rid", *"abc"[: len(values)]])
 
 
-def _shared_seeds(table: pa.Table) -> pa.Table:
-    """Of one bucket: per row the seeds that occur in another row or twice. One
-    row's entries, which only come from several blocks if rows are equal, count
-    one by one."""
-    told = table.filter(pc.is_valid(table["rid"]))
-    rest = table.filter(pc.is_null(table["rid"]))
-    hs, did, rid, here = [], [], [], []
-    for h, d, dids, rids in zip(*(rest[c].to_pylist() for c in ("h", "d", "dids", "rids")), strict=True):
-        h = unpack(h)
-        d = np.frombuffer(d, np.int16 if len(d) == 2 * len(h) else np.int32).astype(np.int64)
-        rids = np.append(np.frombuffer(rids, np.int64), 0)
-        dids = np.append(np.frombuffer(dids, np.int64), 0) if dids else np.zeros(len(rids), np.int64)
-        hs.append(h)
-        did.append(dids[d])
-        rid.append(rids[d])
-        here.append(d >= 0)
-    out = [told.select(["did", "rid", "h"]).rename_columns(["did", "rid", "a"])]
-    if hs:
-        h, did, rid, here = map(np.concatenate, (hs, did, rid, here))
-        _, inv, n = np.unique(h, return_inverse=True, return_counts=True)
-        hot = (n[inv] > 1) & here
-        t = _by_row(did[hot], rid[hot], h[hot])
-        out.append(t.set_column(2, "a", pa.array([pack(np.frombuffer(x, U)) for x in t["a"].to_pylist()], pa.binary())))
-    return pa.concat_tables(out)
+def _shared_seeds(n_buckets: int):
+    """Of one bucket: the seeds that occur in another row or twice, one entry per
+    group of rows. One row's entries, which only come from several blocks if rows
+    are equal, count one by one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        told = table.filter(pc.is_valid(table["rid"]))
+        rest = table.filter(pc.is_null(table["rid"]))
+        size = np.array([len(x) // 6 for x in told["h"].to_pylist()], np.int64)
+        out = [(unpack(b"".join(told["h"].to_pylist())), *(np.repeat(told[c].to_numpy(), size) for c in ("did", "rid")))]
+        hs, did, rid, here = [], [], [], []
+        for h, d, dids, rids in zip(*(rest[c].to_pylist() for c in ("h", "d", "dids", "rids")), strict=True):
+            h = unpack(h)
+            d = np.frombuffer(d, np.int16 if len(d) == 2 * len(h) else np.int32).astype(np.int64)
+            rids = np.append(np.frombuffer(rids, np.int64), 0)
+            dids = np.append(np.frombuffer(dids, np.int64), 0) if dids else np.zeros(len(rids), np.int64)
+            hs.append(h)
+            did.append(dids[d])
+            rid.append(rids[d])
+            here.append(d >= 0)
+        if hs:
+            h, did, rid, here = map(np.concatenate, (hs, did, rid, here))
+            _, inv, n = np.unique(h, return_inverse=True, return_counts=True)
+            hot = (n[inv] > 1) & here
+            out.append((h[hot], did[hot], rid[hot]))
+        h, did, rid = map(np.concatenate, zip(*out, strict=True))
+        o = np.lexsort((rid, did))
+        h, did, rid = h[o], did[o].astype(np.int64), rid[o].astype(np.int64)
+        rows = [(group, *keys, pack(h[part])) for group, part, keys in _deal(did, rid, n_buckets)]
+        return pa.Table.from_pylist([dict(zip(_DEALT_SCHEMA.names, r, strict=True)) for r in rows], schema=_DEALT_SCHEMA)
+
+    return run
+
+
+def _gather_seeds(table: pa.Table) -> pa.Table:
+    """The seeds of all buckets in one group of rows, row by row."""
+    rows = table.to_pylist()
+    did, rid = map(np.concatenate, zip(*map(_unpack_keys, rows), strict=True))
+    t = _by_row(did, rid, unpack(b"".join(x["a"] for x in rows)))
+    return t.set_column(2, "a", pa.array([pack(np.frombuffer(x, U)) for x in t["a"].to_pylist()], pa.binary()))
 
 
 SPAN_ROWS = "bucket int, n int, did binary, rid binary, at binary, a binary, b binary, h binary, lens binary, spans binary"
-PACKED = "bucket int, n int, did binary, rid binary, at binary, a binary, b binary"
+DEALT = "bucket int, n int, did binary, rid binary, at binary, a binary"
+PACKED = f"{DEALT}, b binary"
 INTERVALS = "did long, rid long, a binary, b binary"
 _SPAN_SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), *[(c, pa.binary()) for c in ("did", "rid", "at", "a", "b", "h", "lens", "spans")]])
 _PACKED_SCHEMA = pa.schema(list(_SPAN_SCHEMA)[:7])
+_DEALT_SCHEMA = pa.schema(list(_SPAN_SCHEMA)[:6])
 #: First word of a span that stands for spans settled in their block.
 MARK = -1
 
@@ -321,20 +340,32 @@ def unsqueeze(z: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
 
 
-def _pack_places(row: np.ndarray, dids: np.ndarray, rids: np.ndarray, a: np.ndarray) -> list:
-    """Cells n, did, rid, at, a: each row's key once, and the places ``a`` in them."""
+def _pack_keys(row: np.ndarray, dids: np.ndarray, rids: np.ndarray) -> list:
+    """Cells n, did, rid, at: the key of each row once, and whose each entry is."""
     used, at = np.unique(row, return_inverse=True)
-    return [len(row), squeeze(dids[used]), rids[used].tobytes(), squeeze(np.diff(at, prepend=0).astype(np.int32)), squeeze(a.astype(np.int32))]
+    return [len(row), squeeze(dids[used]), rids[used].tobytes(), squeeze(np.diff(at, prepend=0).astype(np.int32))]
 
 
-def _unpack_places(x: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack_keys(x: dict) -> tuple[np.ndarray, np.ndarray]:
     rid = np.frombuffer(x["rid"], np.int64)
     at = np.cumsum(unsqueeze(x["at"], x["n"], np.int32))
-    return unsqueeze(x["did"], len(rid), np.int64)[at], rid[at], unsqueeze(x["a"], x["n"], np.int32)
+    return unsqueeze(x["did"], len(rid), np.int64)[at], rid[at]
+
+
+def _deal(did: np.ndarray, rid: np.ndarray, n_buckets: int):
+    """Entries, sorted by row, dealt to groups of rows: per group its number, its
+    entries and the cells of their keys."""
+    group = rid % n_buckets
+    o = np.argsort(group, kind="stable")
+    for part in np.split(o, np.flatnonzero(np.diff(group[o])) + 1) if len(o) else []:
+        d, r = did[part], rid[part]
+        new = np.r_[True, (d[1:] != d[:-1]) | (r[1:] != r[:-1])]
+        yield int(group[part[0]]), part, _pack_keys(np.cumsum(new) - 1, d[new], r[new])
 
 
 def _unpack_intervals(x: dict) -> tuple[np.ndarray, ...]:
-    did, rid, a = _unpack_places(x)
+    did, rid = _unpack_keys(x)
+    a = unsqueeze(x["a"], x["n"], np.int32)
     return did, rid, a, a + unsqueeze(x["b"], x["n"], np.int32)
 
 
@@ -355,12 +386,8 @@ def _pack_intervals(found: list[tuple], n_buckets: int) -> pa.Table:
     rows = []
     if found:
         did, rid, a, b = merged(*map(np.concatenate, zip(*found, strict=True)))
-        group = rid % n_buckets
-        o = np.argsort(group, kind="stable")
-        for part in np.split(o, np.flatnonzero(np.diff(group[o])) + 1) if len(o) else []:
-            row = np.cumsum(np.r_[False, (did[part][1:] != did[part][:-1]) | (rid[part][1:] != rid[part][:-1])])
-            first = part[np.unique(row, return_index=True)[1]]
-            rows.append((int(group[part[0]]), *_pack_places(row, did[first], rid[first], a[part]), squeeze((b - a)[part].astype(np.int32))))
+        for group, part, keys in _deal(did, rid, n_buckets):
+            rows.append((group, *keys, squeeze(a[part].astype(np.int32)), squeeze((b - a)[part].astype(np.int32))))
     return pa.Table.from_pylist([dict(zip(_PACKED_SCHEMA.names, r, strict=True)) for r in rows], schema=_PACKED_SCHEMA)
 
 
@@ -404,7 +431,7 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
                     send.append(((at[0][0], MARK, *at[0][2:]), span))
             if sure:
                 x = np.array([x[:3] for x in sure], np.int64)
-                places = _pack_places(x[:, 0], dids, rids, x[:, 1])
+                places = [*_pack_keys(x[:, 0], dids, rids), squeeze(x[:, 1].astype(np.int32))]
                 yield row(int(rids[x[0, 0]]) % n_buckets, places, squeeze((x[:, 2] + k - 1).astype(np.int32)), b"", b"", b"")
             h = np.array([x[3] for x, _ in send], U)
             bucket = (h >> U(33)) % U(n_buckets)
@@ -416,7 +443,8 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
                 lens = np.array([len(z) for z in spans], np.int32)
                 # In a bucket 32 bits tell seeds apart; the spans are compared anyway.
                 low = h[part].astype(np.uint32)
-                yield row(int(bucket[part[0]]), _pack_places(x[:, 0], dids, rids, x[:, 1]), None, low.tobytes(), squeeze(lens), pa.compress(b"".join(spans), codec="zstd", asbytes=True))
+                places = [*_pack_keys(x[:, 0], dids, rids), squeeze(x[:, 1].astype(np.int32))]
+                yield row(int(bucket[part[0]]), places, None, low.tobytes(), squeeze(lens), pa.compress(b"".join(spans), codec="zstd", asbytes=True))
 
     def row(bucket, places, *rest):
         cells = [bucket, *places, *rest]
@@ -426,10 +454,12 @@ def _span_rows(tokens, k: int, m: int, n_buckets: int, settle: Callable):
 
 
 def shared_seeds(src: DataFrame, extract: Callable, by_row: bool) -> DataFrame:
-    """did, rid, a: seeds (see ``pack``) of a row that occur elsewhere too; a row
-    may come several times, with different seeds."""
-    seeds = src.mapInArrow(_seed_rows(extract, bucket_count(src), by_row), SEED_ROWS)
-    return seeds.groupBy("bucket").applyInArrow(_shared_seeds, "did long, rid long, a binary")
+    """did, rid, a: per row its seeds (see ``pack``) that occur elsewhere too, if
+    it has any."""
+    n = bucket_count(src)
+    seeds = src.mapInArrow(_seed_rows(extract, n, by_row), SEED_ROWS)
+    dealt = seeds.groupBy("bucket").applyInArrow(_shared_seeds(n), DEALT)
+    return dealt.groupBy("bucket").applyInArrow(_gather_seeds, "did long, rid long, a binary")
 
 
 def _join(src: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
@@ -455,7 +485,8 @@ def repeated_intervals(src: DataFrame, tokens, k: int, m: int, by_row: bool, set
             if x["b"] is not None:
                 out.append(_unpack_intervals(x))
                 continue
-            d, r, a = _unpack_places(x)
+            d, r = _unpack_keys(x)
+            a = unsqueeze(x["a"], x["n"], np.int32)
             lens = unsqueeze(x["lens"], x["n"], np.int32)
             data = pa.decompress(x["spans"], int(lens.sum()), codec="zstd", asbytes=True)
             cut = np.cumsum(lens).tolist()
