@@ -1,19 +1,20 @@
 """Benchmark decontamination.
 
 Words are runs of letters and digits in lower case, so punctuation and case
-do not hide a copy. A first pass over the corpus counts in how many documents
-each benchmark n-gram occurs; n-grams much more common than their item's others
-are no seeds. A second pass finds the rare seeds, cuts out the passage around
-each and scores it against the item by Smith-Waterman alignment of words, which
-also finds paraphrased and edited copies. Both passes need no shuffle of text.
+do not hide a copy. One pass over the corpus finds every n-gram of every item,
+however common, and cuts out the passage around each. Passages with too few of
+the item's words to reach its score in any order go; the others are scored
+against the item by Smith-Waterman alignment of words, which also finds
+paraphrased and edited copies. No text is shuffled.
 
 Benchmark items are sent to the tasks in slices of bounded size; a larger
-benchmark takes more slices, each with its own passes.
+benchmark takes more slices, each with its own pass.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ _CODE[65:91] = np.arange(97, 123)
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Benchmark text sent to the tasks at a time.
 SLICE_BYTES = 16 << 20
+#: Words of passages looked at together.
+PART_WORDS = 1 << 20
 
 
 def word_hashes(raw: np.ndarray, off: np.ndarray):
@@ -88,17 +91,25 @@ class Benchmark:
         # Words of agreement that count as a copy, as an alignment score.
         self.need = MATCH * np.minimum(np.minimum(13, np.maximum(8, 0.4 * ln)), 0.8 * ln)
 
-    def rare(self, docs_with: np.ndarray, spread: float = 2.0, always: int = 10) -> None:
-        """Keep, per item, n-grams in at most ``spread`` times as many documents as
-        its median n-gram, or in ``always``: a leak makes all n-grams of its item
-        equally frequent, a common phrase only its own."""
-        df = docs_with[self.gram]
-        keep = np.zeros(len(df), bool)
-        for i in np.unique(self.item):
-            own = self.item == i
-            keep[own] = df[own] <= np.maximum(always, spread * np.median(df[own]))
-        o = np.argsort(self.gram[keep], kind="stable")
-        self.s_gram, self.s_item, self.s_at = self.gram[keep][o], self.item[keep][o], self.at[keep][o]
+        o = np.argsort(self.gram, kind="stable")
+        self.s_gram, self.s_item, self.s_at = self.gram[o], self.item[o], self.at[o]
+        # Every (item, word) once, as item * vocabulary + word, and how often it is there.
+        self.vocab, word = np.unique(self.words, return_inverse=True)
+        self.item_word, self.times = np.unique(np.repeat(np.arange(len(texts)), ln) * np.int64(len(self.vocab)) + word, return_counts=True)
+
+    def possible(self, part, w):
+        """Whether each passage (document, item, from, to) has enough of its item's
+        words for an alignment that counts, whatever their order."""
+        _, t, a, b = np.array(part, np.int64).reshape(-1, 4).T
+        which = np.repeat(np.arange(len(t)), b - a)
+        word = w[np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())]
+        v = np.minimum(np.searchsorted(self.vocab, word), len(self.vocab) - 1)
+        key = t[which] * np.int64(len(self.vocab)) + v
+        k = np.minimum(np.searchsorted(self.item_word, key), len(self.item_word) - 1)
+        in_item = (self.vocab[v] == word) & (self.item_word[k] == key)
+        pair, n = np.unique(which[in_item] * np.int64(len(self.item_word)) + k[in_item], return_counts=True)
+        most = np.bincount(pair // len(self.item_word), np.minimum(n, self.times[pair % len(self.item_word)]), len(t))
+        return MATCH * most >= self.need[t]
 
     def hits(self, raw, off):
         """(document, word position, n-gram) of every benchmark n-gram, the words
@@ -117,24 +128,9 @@ class Benchmark:
         return doc[ok], pos[ok], g[pos[ok]], w, woff
 
 
-def _count(bench: Benchmark):
-    def run(batches):
-        for batch in batches:
-            raw, off = anchors.text_bytes(batch.column("text"))
-            total = np.zeros(len(bench.grams), np.int64)
-            for a, b in anchors.groups(off):
-                doc, _, g, _, _ = bench.hits(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-                pairs = np.unique(doc * np.int64(len(bench.grams)) + g)
-                np.add.at(total, pairs % max(1, len(bench.grams)), 1)
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["gram", "n"])
-
-    return run
-
-
 def _align(bench: Benchmark, slack: int):
     def candidates(doc, pos, g, woff):
-        """Passages (document, item, from, to) around the rare seeds, merged where
+        """Passages (document, item, from, to) around the n-grams, merged where
         they overlap."""
         lo = np.searchsorted(bench.s_gram, g)
         n = np.searchsorted(bench.s_gram, g, side="right") - lo
@@ -155,6 +151,18 @@ def _align(bench: Benchmark, slack: int):
             yield int(d[i]), int(item[i]), int(a[i]), int(end)
             i = j
 
+    def parts(found, most):
+        """At most so many passages at a time, and not many more than PART_WORDS words."""
+        part, size = [], 0
+        for x in found:
+            part.append(x)
+            size += x[3] - x[2]
+            if len(part) == most or size > PART_WORDS:
+                yield part
+                part, size = [], 0
+        if part:
+            yield part
+
     def score(part, w):
         items = [bench.words[bench.off[t] : bench.off[t + 1]] for _, t, _, _ in part]
         passages = [w[a:b] for _, _, a, b in part]
@@ -175,11 +183,12 @@ def _align(bench: Benchmark, slack: int):
             out: dict[tuple[int, int], tuple] = {}
             for a, b in anchors.groups(off):
                 doc, pos, g, w, woff = bench.hits(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-                seeds = np.isin(g, bench.s_gram)
-                todo = list(candidates(doc[seeds], pos[seeds], g[seeds], woff))
+                todo = []
+                for part in parts(candidates(doc, pos, g, woff), 4096):
+                    todo += compress(part, bench.possible(part, w))
                 todo.sort(key=lambda x: x[3] - x[2])
-                for i in range(0, len(todo), 256):
-                    for (d, t, lo, _), s, x, y in score(todo[i : i + 256], w):
+                for part in parts(todo, 256):
+                    for (d, t, lo, _), s, x, y in score(part, w):
                         key = (a + d, t)
                         if key not in out or out[key][0] < s:
                             out[key] = (s, int(lo - woff[d] + x), int(lo - woff[d] + y))
@@ -199,11 +208,6 @@ def _align(bench: Benchmark, slack: int):
 def _one_slice(d: DataFrame, items: DataFrame, n: int, slack: int) -> DataFrame:
     rows = items.select("item_id", "text").collect()  # bounded by SLICE_BYTES
     bench = Benchmark([r["text"] for r in rows], n)
-    counts = d.select("text").mapInArrow(_count(bench), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    docs_with = np.zeros(len(bench.grams), np.int64)
-    for r in counts.collect():  # one row for each benchmark n-gram at most
-        docs_with[r["gram"]] = r["n"]
-    bench.rare(docs_with)
     kind = d.schema["doc_id"].dataType.simpleString()
     found = d.mapInArrow(_align(bench, slack), f"doc_id {kind}, th long, item long, score long, start_word long, end_word long")
     schema = T.StructType([T.StructField("item", T.LongType()), items.schema["item_id"], T.StructField("item_words", T.LongType())])

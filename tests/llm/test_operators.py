@@ -211,6 +211,24 @@ def test_leaks(spark, docs, rows):
     assert find_leaks(docs, bench.where("false")).count() == 0
 
 
+def test_partial_leaks_in_many_documents(spark):
+    """20 of an item's 50 words in twelve documents, alone and beside whole copies."""
+    from sparkexp.llm.decontaminate import find_leaks
+
+    import random
+
+    r = random.Random(10)
+    words = [f"q{i}" for i in range(3000)]
+    items = [(i, " ".join(r.choices(words, k=50))) for i in range(2)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(100 * i + k, f"at first {' '.join(t.split()[15:35])} and so on", "en", "s") for i, t in items for k in range(12)]
+    rows += [(50 + k, f"whole {items[1][1]} here", "en", "s") for k in range(3)]
+    # A phrase of one item that very many texts share is no copy of it.
+    rows += [(1000 + i, f"{' '.join(items[0][1].split()[:5])} {' '.join(r.choices(words, k=60))}", "en", "s") for i in range(40)]
+    got = sorted((x.doc_id, x.item_id) for x in find_leaks(make(spark, rows), bench).collect())
+    assert got == sorted([(100 * i + k, i) for i in range(2) for k in range(12)] + [(50 + k, 1) for k in range(3)])
+
+
 def test_smith_waterman_matches_the_textbook():
     from sparkexp.llm.decontaminate import smith_waterman
 
