@@ -4,7 +4,8 @@ Counts per document are array expressions on the row itself, so no word is
 shuffled. Documents that pass the base rules are described by four transformed
 statistics; a minimum covariance determinant (MCD) estimate per language and
 source gives each a robust Mahalanobis distance, and documents beyond the
-cutoff are rejected.
+cutoff are rejected. Groups too small for an estimate take that of their whole
+language, and languages too small for one that of all documents.
 
 The MCD is found by concentration steps: start from medians and median absolute
 deviations, then repeatedly re-estimate mean and covariance from the ``support``
@@ -16,6 +17,7 @@ third of all rows is only ever summed.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,14 +110,20 @@ def _cholesky(est: DataFrame) -> DataFrame:
     return est
 
 
-def _distances(x: DataFrame, est: DataFrame) -> DataFrame:
+def _same(keys: list[str]) -> Column:
+    """Null-safe equality of the keys with those named e_ and the key."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"e_{k}")) for k in keys])
+
+
+def _other(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"e_{k}" for k in keys})
+
+
+def _distances(x: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
     """x joined to its group's estimate, with squared distance ``d2``: forward
     substitution with the Cholesky factor. No estimate: NULL."""
-    e = est.select(
-        F.col("lang").alias("e_lang"), F.col("source").alias("e_source"), *[f"m_{i}" for i in range(P)],
-        *[f"l_{i}_{j}" for i in range(P) for j in range(i + 1)],
-    )
-    j = x.join(e, F.col("lang").eqNullSafe(F.col("e_lang")) & F.col("source").eqNullSafe(F.col("e_source")), "left")
+    e = est.select(*keys, *[f"m_{i}" for i in range(P)], *[f"l_{i}_{j}" for i in range(P) for j in range(i + 1)])
+    j = x.join(_other(e, keys), _same(keys), "left")
     for i in range(P):
         z = F.col(STATS[i]) - F.col(f"m_{i}")
         for k in range(i):
@@ -125,14 +133,33 @@ def _distances(x: DataFrame, est: DataFrame) -> DataFrame:
     return j.select(*x.columns, d2.alias("d2"))
 
 
-def fit_mcd(x: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 40) -> DataFrame:
-    """Robust mean and Cholesky factor per (lang, source) of ``x`` (columns
-    lang, source, x0..x3). Groups with fewer than ``min_rows`` rows get none.
+def fit_levels(x: DataFrame, min_rows: int) -> DataFrame:
+    """Per (lang, source) of ``x``: ``level``, whose estimate its documents take (0 its own,
+    1 its language's, 2 that of all, NULL none as all are under ``min_rows``), and
+    ``pools``, which of 1 and 2 its documents are needed for."""
+    n = x.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    by_lang = n.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    total = by_lang.agg(F.sum("n_lang").alias("n_all"), F.min("n_lang").alias("least_lang"))
+    g = n.join(_other(by_lang, ["lang"]), _same(["lang"])).crossJoin(F.broadcast(total))  # one row
+    level = F.when(F.col("n") >= min_rows, 0).when(F.col("n_lang") >= min_rows, 1).when(F.col("n_all") >= min_rows, 2)
+    one, two = (F.col("least") < min_rows) & (F.col("n_lang") >= min_rows), (F.col("least_lang") < min_rows) & (F.col("n_all") >= min_rows)
+    pools = F.filter(F.array(F.when(one, 1), F.when(two, 2)), lambda k: k.isNotNull())
+    return cut_lineage(g.select("lang", "source", level.alias("level"), pools.alias("pools")))
+
+
+def _at_level(level: Column) -> list[Column]:
+    """Keys of the estimate of a row's language and source at a level."""
+    return [F.when(level < 2, F.col("lang")).alias("lang"), F.when(level < 1, F.col("source")).alias("source"), level.alias("level")]
+
+
+def fit_mcd(x: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int = 40, keys: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+    """Robust mean and Cholesky factor per ``keys`` of ``x`` (columns ``keys``,
+    x0..x3). Groups with fewer than ``min_rows`` rows get none.
     """
-    keys = ["lang", "source"]
+    keys = list(keys)
     med = x.groupBy(*keys).agg(F.count("*").alias("n"), *[F.percentile_approx(s, 0.5, 10_000).alias(f"m_{i}") for i, s in enumerate(STATS)])
-    med = med.where(F.col("n") >= min_rows).withColumnRenamed("lang", "e_lang").withColumnRenamed("source", "e_source")
-    same = F.col("lang").eqNullSafe(F.col("e_lang")) & F.col("source").eqNullSafe(F.col("e_source"))
+    med = _other(med.where(F.col("n") >= min_rows), keys)
+    same = _same(keys)
     dev = x.join(med, same).groupBy(*keys).agg(
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(P)],
         *[F.percentile_approx(F.abs(F.col(s) - F.col(f"m_{i}")), 0.5, 10_000).alias(f"a_{i}") for i, s in enumerate(STATS)],
@@ -146,13 +173,13 @@ def fit_mcd(x: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int =
     # Consistency of a covariance taken from the central `support` of a normal.
     scale = support / _chi2_cdf(chi2_quantile(support, P), P + 2)
     for _ in range(steps):
-        d = _distances(x, est).where(F.col("d2").isNotNull())
+        d = _distances(x, est, keys).where(F.col("d2").isNotNull())
         d = d.withColumn("bin", F.floor(64 * F.log2(F.greatest("d2", F.lit(1e-6)))))
         bins = d.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
         run = F.sum("n").over(Window.partitionBy(*keys).orderBy("bin"))
         total = F.sum("n").over(Window.partitionBy(*keys))
         cut = bins.withColumn("run", run).withColumn("total", total).where(F.col("run") >= support * F.col("total"))
-        cut = cut.groupBy(F.col("lang").alias("e_lang"), F.col("source").alias("e_source")).agg(F.min("bin").alias("cut"))
+        cut = _other(cut.groupBy(*keys).agg(F.min("bin").alias("cut")), keys)
         core = d.join(cut, same).where(F.col("bin") <= F.col("cut"))
         agg = core.groupBy(*keys).agg(
             *[F.avg(s).alias(f"m_{i}") for i, s in enumerate(STATS)],
@@ -167,7 +194,7 @@ def fit_mcd(x: DataFrame, support: float = 0.75, steps: int = 4, min_rows: int =
 
 def judge(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    tail: float = 1e-9, support: float = 0.75, steps: int = 4, min_rows: int = 40,
+    tail: float = 1e-6, support: float = 0.75, steps: int = 4, min_rows: int = 40,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``row`` (the columns ``keep``, with language and source among them, of the input row as a struct), the five counts, base_failed, d2
@@ -175,9 +202,11 @@ def judge(
 
     The estimates use the documents that pass the base rules; a document beyond
     the chi-square quantile at ``1 - tail`` is rejected. NULL languages and
-    sources are groups of their own. In groups under ``min_rows`` passing
-    documents, in an empty table and on ties nothing is rejected beyond the base
-    rules. NULL and empty texts fail them (no words).
+    sources are groups of their own. Groups under ``min_rows`` passing documents
+    are judged by the estimate of all passing documents of their language, and if
+    these are too few by that of all. In tables under ``min_rows`` passing documents
+    and on ties nothing is rejected beyond the base rules. NULL and empty texts
+    fail them (no words).
     """
     c = base_counts(docs, text_col, keep)
     c = c.select(
@@ -188,8 +217,15 @@ def judge(
     # unless ``keep`` has it) and every concentration step reads them.
     c = cut_lineage(c)
     x = c.where(~F.col("base_failed")).select("lang", "source", *STATS)
-    est = fit_mcd(x, support, steps, min_rows)
-    out = _distances(c, est)
+    groups, own = _other(fit_levels(x, min_rows), ["lang", "source"]), ["lang", "source"]
+    level = F.explode(F.concat(F.when(F.col("level") == 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")), "pools")).alias("at")
+    x = x.join(groups, _same(own)).select("lang", "source", *STATS, level)
+    x = cut_lineage(x.select(*_at_level(F.col("at")), *STATS))
+    keys = [*own, "level"]
+    est = fit_mcd(x, support, steps, min_rows, tuple(keys))
+    rest = [k for k in c.columns if k not in own]
+    c = c.join(groups, _same(own), "left").select(*rest, *_at_level(F.col("level")))
+    out = _distances(c, est, keys)
     inside = F.col("d2").isNull() | (F.col("d2") <= chi2_quantile(1 - tail, P))
     return out.select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

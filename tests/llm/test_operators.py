@@ -119,6 +119,36 @@ def test_quality_rejects_what_lies_far_off(spark):
     assert all(out[i] for i in range(400)) and not any(out[1000 + i] for i in range(5))
 
 
+def test_quality_agrees_with_labels(spark):
+    """Nearly all labelled junk that passes the base rules goes, no labelled clean text does."""
+    from sparkexp.llm.quality import judge
+
+    at = "/root/testdata/sf0.1"
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{at}/labels.parquet").collect()}
+    out = judge(spark.read.parquet(f"{at}/documents.parquet"), keep=["doc_id", "lang", "source"]).where("not base_failed")
+    out = [(label.get(r.row.doc_id), r.kept) for r in out.select("row", "kept").collect()]
+    junk, clean = ([kept for q, kept in out if q == k] for k in (0, 1))
+    assert sum(junk) <= 0.05 * len(junk) and len(junk) > 200
+    assert all(clean) and len(clean) > 2000
+
+
+def test_quality_judges_small_groups(spark):
+    """Groups under min_rows by their language, small languages by all documents."""
+    from sparkexp.llm.quality import judge
+
+    import random
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefgh", k=r.randint(2, 8)))
+    good = lambda: " ".join(word() for _ in range(r.randint(60, 400)))
+    rows = [(i, good(), "en", f"s{i % 20}") for i in range(300)] + [(300 + i, good(), "de", "s0") for i in range(60)]
+    rows += [(400, good(), "fr", "s0"), (401, good(), None, None)]
+    junk = lambda: " ".join(word() + "%%%&&&" for _ in range(100))
+    rows += [(1000, junk(), "en", "s3"), (1001, junk(), "en", "new"), (1002, junk(), "fr", "s0"), (1003, junk(), None, None), (1004, junk(), "de", "s0")]
+    out = {x.row.doc_id: x.kept for x in judge(make(spark, rows)).collect()}
+    assert len(out) == len(rows) and all(out[i] == (i < 1000) for i in out)
+
+
 def test_mcd_agrees_with_numpy(spark):
     """The fixed point: mean and covariance of the central share, by the same grid."""
     from sparkexp.llm import quality as q
