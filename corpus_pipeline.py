@@ -19,7 +19,7 @@ from sparkexp.llm.line_dedup import dedup_lines
 from sparkexp.llm.mixing import repeat_rows
 from sparkexp.llm.quality import judge
 from sparkexp.llm.setjoin import jaccard_components
-from sparkexp.llm.text import or_empty
+from sparkexp.llm.text import or_empty, strip_space
 from sparkexp.session import ensure_checkpoint_dir
 
 
@@ -48,16 +48,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, Jaccard 0.85) the
-    document with the smallest id stays, of its equal rows one. Texts without
-    words are no duplicates of each other."""
+    document with the smallest id stays (NULL is the largest), of its equal rows
+    one. Texts without words are no duplicates of each other and all stay."""
     j = jaccard_components(docs, n=5, percent=85)
-    first = j.where("did = component_id").groupBy("did", "rid").agg(F.first("n_shingles").alias("n"))
-    # Rows that share the smallest id but not the text: the smallest hash.
-    first = first.groupBy("did").agg(F.min("rid").alias("rid")).withColumnsRenamed({"did": "f_did", "rid": "f_rid"})
+    # Of a group's rows that share the smallest id but not the text: the smallest hash.
+    first = j.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("did", "rid")).alias("f"))
+    first = first.select(F.col("f.did").alias("f_did"), F.col("f.rid").alias("f_rid"))
     i, t = F.col("doc_id").cast("long"), or_empty(F.col("text"))
-    d = _keyed(docs, k_did=F.coalesce(i, F.lit(NO_ID)), k_rid=F.xxhash64(i, t))
-    d = d.join(first, (F.col("k_did") == F.col("f_did")) & (F.col("k_rid") == F.col("f_rid")), "left_semi")
-    return d.dropDuplicates(["k_did", "k_rid"]).select("row.*")
+    d = _keyed(docs, k_did=F.coalesce(i, F.lit(NO_ID)), k_rid=F.xxhash64(i, t), blank=strip_space(t) == "")
+    kept = d.where("not blank").join(first, (F.col("k_did") == F.col("f_did")) & (F.col("k_rid") == F.col("f_rid")), "left_semi")
+    return kept.dropDuplicates(["k_did", "k_rid"]).union(d.where("blank")).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -297,8 +297,9 @@ def _sets(rule: Rule):
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
-    """``did, rid, n_shingles, component_id`` per row: component_id is the smallest
-    id reachable by links, the row's own included.
+    """``did, rid, n_shingles, component_id, comp`` per row: component_id is the
+    smallest id reachable by links, the row's own included; comp numbers the linked
+    rows, also where ids repeat or are NULL (rows without shingles share one).
 
     Two rows link when 100 * |intersection| >= ``percent`` * |union| of their sets
     of ``n``-word shingles (ASCII-lower-cased; a shorter text is one shingle).
@@ -322,4 +323,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     low = d.groupBy("comp").agg(F.min("did").alias("low"))
     j = d.join(low, "comp")
     own = F.when(F.col("size") == 0, F.col("did")).otherwise(F.col("low"))
-    return j.select("did", "rid", F.col("size").alias("n_shingles"), own.alias("component_id"))
+    return j.select("did", "rid", F.col("size").alias("n_shingles"), own.alias("component_id"), "comp")

@@ -51,6 +51,25 @@ def test_stages(spark):
     assert mixed.count() == sum(r.copies for r in mix(clean).collect())
 
 
+@pytest.mark.parametrize("rows", [data.awkward(), [(None, t, *x) for _, t, *x in data.corpus(8, 30)]], ids=["awkward", "no ids"])
+def test_near_duplicates_keep_one_row_a_group(spark, rows):
+    """Rows of brute-force groups, those without words alone: one of each stays."""
+    import corpus_pipeline as p
+
+    # Brute force over row numbers in place of ids names the groups.
+    group = [c for _, _, c in data.jaccard([(k, t) for k, (_, t, *_) in enumerate(rows)], 5, 85)]
+    least: dict = {}
+    for (i, *_), c in zip(rows, group, strict=True):
+        least[c] = min(least.get(c, 1 << 63), (1 << 63) - 1 if i is None else i)
+    got = _rows(p.near_duplicates(spark, data.make(spark, rows).repartition(3), SF_SMALL))
+    assert order([((1 << 63) - 1 if r[0] is None else r[0],) for r in got]) == order([(x,) for x in least.values()])
+    of = {}
+    for (i, t, *_), c in zip(rows, group, strict=True):
+        of.setdefault((i, t), []).append(c)
+    stays = [of[r[:2]].pop() for r in got]
+    assert len(set(stays)) == len(stays)
+
+
 def test_run_and_awkward_rows(spark, tmp_path):
     import corpus_pipeline as p
 
