@@ -124,10 +124,11 @@ def signatures(sets: np.ndarray, rule: Rule, band: int) -> tuple[np.ndarray, int
     if deletions:
         sig = np.concatenate([sig, mix((total[seg] - c) + tag[seg] + (count[seg] - 1).astype(U))])
     else:
-        none = count == 0
-        if none.sum() <= spare:
-            empty = int(none.sum())
-            sig = sig[~none]
+        # One order for all sets, or linked ones could leave out all they share:
+        # empty segments first, as many as may go, then (``_keep_rare``) frequent ones.
+        gone = np.flatnonzero(count == 0)[:spare]
+        empty = len(gone)
+        sig = np.delete(sig, gone)
     return np.unique((sig >> U(17) << U(17)) | U((band & 1) << 16)), empty
 
 
@@ -162,7 +163,7 @@ def _class_signatures(rule: Rule, seed: int):
 
 def _keep_rare(rule: Rule):
     """Leave out each set's most frequent signatures, as many as its scheme has
-    to spare; empty segments went first."""
+    to spare; empty segments went first, in every set (see ``signatures``)."""
 
     def run(batches):
         for batch in batches:

@@ -87,6 +87,36 @@ def test_linked_sets_share_a_signature_after_sparing():
             assert common, size
 
 
+def test_sparing_has_one_order_for_sets_with_few_and_many_empty_segments():
+    """Linked sets on both sides of the limit of empty segments share a signature,
+    also where the filled segments they share are the most frequent."""
+    import pyarrow as pa
+
+    from sparkexp.llm.setjoin import Rule, _keep_rare, signatures
+
+    rng = np.random.default_rng(1)
+    rule = Rule(85, 4)
+    few, many = [0, 6, 8, 1, 6, 0, 5], [0, 5, 7, 0, 6, 0, 5]
+    band = next(b for b in (rule.band(26), rule.band(26) + 1) if rule.scheme(b) == (7, 2, False))
+    assert band in (rule.band(23), rule.band(23) + 1)
+    pool = rng.integers(1, 1 << 63, 2000, dtype=np.uint64)
+    seg = (pool >> np.uint64(32)) % np.uint64(7)
+    a, b = (np.concatenate([pool[seg == i][:n] for i, n in enumerate(c)]) for c in (few, many))
+    assert 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+    own = [[signatures(x, rule, s) for s in (rule.band(len(x)), rule.band(len(x)) + 1)] for x in (a, b)]
+    # The filled segments of both sets are frequent, the others are not.
+    full = [set(signatures(x, rule, band)[0].tolist()) for x in (a, b)]
+    blank = set(signatures(np.zeros(0, np.uint64), rule, band)[0].tolist())
+    freq = {s: 90 for s in (full[0] & full[1]) - blank}
+    kept = []
+    for x, ((s0, e0), (s1, e1)) in zip((a, b), own, strict=True):
+        sigs = np.concatenate([s0, s1])
+        cols = [[1], [len(x)], [e0], [e1], [sigs.view(np.int64).tolist()], [[freq.get(int(s), 5) for s in sigs]]]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["cls", "size", "empty0", "empty1", "sigs", "freqs"])
+        kept.append({s for out in _keep_rare(rule)([batch]) for s in out.column("sig").to_pylist()})
+    assert kept[0] & kept[1]
+
+
 def test_line_dedup(docs, rows):
     from sparkexp.llm.line_dedup import dedup_lines
 
