@@ -204,3 +204,84 @@ def op8(spark, sf_dir):
 
     p = find_personal(table(spark, sf_dir, "documents"))
     return p.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+# ------------------------------------------ 11: conversation structure repair
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the checksum of ``conv_id:turn``: rows
+    dropped (0 copies), emptied, without sentence marks, doubled or given to the
+    user. NULLs are one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    d = turns.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"),
+                     (F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20).alias("k"))
+    text = F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("k") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("k") == 0, 0).when(F.col("k") == 3, 2).otherwise(1)
+    return d.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+
+
+#: Moves of the automaton over the states nothing (0), s (1), u (2), a (3): phases 0 and 1
+#: insert a user and an assistant turn, phase 2 takes the next row.
+_OP11_MOVES = ", ".join(
+    [f"({p}, {q}, NULL, {q}, 0, '', NULL)" for p in (0, 1) for q in range(4)]
+    + [f"(0, {q}, NULL, 2, 5, 'I', 'user')" for q in (0, 1, 3)]
+    + ["(1, 2, NULL, 3, 5, 'I', 'assistant')"]
+    + [f"(2, {q}, NULL, {q}, 2, 'D', NULL)" for q in range(4)]
+    + [f"(2, {q}, '{i}', {r}, 0, 'K', NULL)" for q, i, r in ((0, "s", 1), (0, "u", 2), (1, "u", 2), (3, "u", 2), (2, "a", 3))]
+    + [f"(2, {q}, NULL, {r}, 1, 'R', '{w}')" for q, r, w in ((0, 2, "user"), (1, 2, "user"), (3, 2, "user"), (2, 3, "assistant"))]
+)
+OP11_SQL = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), crc AS (
+  SELECT name, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda x: x::BIGINT)),
+      lambda v, x: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 20 AS k
+  FROM (SELECT DISTINCT name FROM c)
+), d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 0 THEN [] WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM c JOIN crc USING (name)
+), r0 AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, trim(text, {_SPACES}) AS core FROM d
+), r AS (
+  SELECT *, CASE WHEN core = '' THEN 'B' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'D'
+                 WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'T' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM r0
+), facts AS (
+  SELECT o.conv_id, count(r.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'B') AS blank, count(*) FILTER (fault = 'D') AS duplicate, count(*) FILTER (fault = 'T') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN r ON o.conv_id IS NOT DISTINCT FROM r.conv_id GROUP BY o.conv_id
+), moves(phase, q, initial, q2, cost, edit, put) AS (VALUES {_OP11_MOVES}),
+st(step, conv_id, q, cost, audit, repaired) AS (
+  SELECT 0, conv_id, 0, 0, '', CAST([] AS VARCHAR[]) FROM facts
+  UNION ALL
+  SELECT * FROM (
+    SELECT s.step + 1 AS step, s.conv_id, m.q2 AS q,
+           s.cost + m.cost + CASE WHEN m.edit IN ('K', 'R') AND r.fault = 'T' THEN 5 ELSE 0 END AS cost, s.audit || m.edit AS audit,
+           CASE m.edit WHEN 'I' THEN list_append(s.repaired, m.put || ':') WHEN 'K' THEN list_append(s.repaired, r.role || ':' || r.text)
+                       WHEN 'R' THEN list_append(s.repaired, m.put || ':' || r.text) ELSE s.repaired END AS repaired
+    FROM st AS s JOIN facts AS f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.step < 3 * f.n + 2
+    JOIN moves AS m ON m.phase = s.step % 3 AND m.q = s.q
+    LEFT JOIN r ON s.step % 3 = 2 AND r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.step // 3 + 1
+    WHERE m.edit NOT IN ('K', 'R') OR (r.fault IN ('', 'T') AND (m.edit = 'R' OR left(r.role, 1) = m.initial))
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1
+), best AS (
+  SELECT st.* FROM st JOIN facts AS f ON st.conv_id IS NOT DISTINCT FROM f.conv_id AND st.step = 3 * f.n + 2 WHERE q IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY st.conv_id ORDER BY cost, audit) = 1
+)
+SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(cost AS BIGINT) AS cost, audit,
+       sha256(array_to_string(repaired, chr(10))) AS repaired_sha256
+FROM facts AS f JOIN best ON f.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
+@query("op11_conversation_repair", OP11_SQL)
+def op11(spark, sf_dir):
+    from sparkexp.llm.conversations import audit_conversations, with_digest
+
+    turns = damaged(table(spark, sf_dir, "conversations"))
+    return with_digest(turns, audit_conversations(turns, copies_col="copies"), copies_col="copies")
