@@ -285,3 +285,15 @@ def op11(spark, sf_dir):
 
     turns = damaged(table(spark, sf_dir, "conversations"))
     return with_digest(turns, audit_conversations(turns, copies_col="copies"), copies_col="copies")
+
+
+# -------------------------------------------------------------- 12: toxicity
+@query("op12_toxicity")
+def op12(spark, sf_dir):
+    from sparkexp.llm.toxicity import fit_model, score
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = fit_model(docs, labels.where(~held))
+    s = score(docs, model, keep=["doc_id"])
+    return s.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"))
