@@ -297,3 +297,45 @@ def op12(spark, sf_dir):
     model = fit_model(docs, labels.where(~held))
     s = score(docs, model, keep=["doc_id"])
     return s.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.3).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------ 13: phrase collocations
+OP13_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS ws FROM p
+), total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, k, gram, count(*) AS c FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS gram
+    FROM w, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(ws) >= k
+  ) GROUP BY lang, k, gram HAVING count(*) >= 30
+), cand AS (SELECT *, string_split(gram, ' ') AS ws FROM f WHERE k >= 2),
+halves AS (
+  SELECT *, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS tail FROM cand, (VALUES (1), (2), (3)) AS v(j) WHERE j < k
+), cuts AS (
+  SELECT c.lang, c.gram, c.c AS a, l.c AS l, r.c AS r, j,
+         CAST((CAST(2000000 AS HUGEINT) * c.c) // (CAST(l.c AS HUGEINT) + r.c) AS BIGINT) AS score
+  FROM halves AS c JOIN f AS l ON l.lang = c.lang AND l.gram = c.head JOIN f AS r ON r.lang = c.lang AND r.gram = c.tail
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT c.lang, array_to_string(c.ws[i:i + m - 1], ' ') AS gram, max(c.c) AS longer
+  FROM cand AS c, (VALUES (1), (2), (3)) AS s(i), (VALUES (2), (3)) AS t(m) WHERE m < c.k AND i + m - 1 <= c.k GROUP BY 1, 2
+), ranked AS (
+  SELECT b.lang, b.gram AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.gram) AS rank
+  FROM best AS b LEFT JOIN inner_parts AS i ON i.lang = b.lang AND i.gram = b.gram
+  WHERE i.longer IS NULL OR 100 * CAST(i.longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13(spark, sf_dir):
+    from sparkexp.llm.collocations import mine
+
+    return mine(table(spark, sf_dir, "documents"), min_count=30, inside=80, top=2000)
