@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text read at a time, phrases a shard holds, and bytes of text a range.
-PART_BYTES = 4 << 20
-SHARD_PHRASES = 3_000_000
+PART_BYTES = 2 << 20
+SHARD_PHRASES = 2_000_000
 RANGE_BYTES = 8 << 20
 #: Documents and phrases of each for the range borders.
 SAMPLE_DOCS, SAMPLE_PHRASES = 2000, 32
@@ -103,57 +104,80 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * U(anchors.BASE) + b)
 
 
+def equal_bytes(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether size[i] bytes of a from at[i] equal those of b from bt[i]."""
+    out, step = np.ones(len(size), bool), 1 << 16
+    for k in range(0, len(size), step):
+        n = size[k : k + step]
+        of = np.repeat(np.arange(len(n)), n)
+        ramp = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        out[k + of[a[at[k : k + step][of] + ramp] != b[bt[k : k + step][of] + ramp]]] = False
+    return out
+
+
 class Symbols:
-    """Numbers for words led by their language. Hashes find them; that equal hashes
-    are equal words is checked, byte by byte."""
+    """Numbers for words with their language. Hashes find them; that equal hashes are
+    equal words is checked byte by byte."""
 
     def __init__(self):
         self.hash, self.at = np.zeros(0, U), np.zeros(0, np.int64)
-        self.name: list[str] = []
-        self.number: dict[str, int] = {}
+        # Of each number: where its word is in the store, its length and language.
+        self.store, self.start, self.size, self.lang = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.langs: dict[str, int] = {}
 
     def of(self, w: Words, langs: list[str]) -> np.ndarray:
         if not len(w.start):
             return np.zeros(0, np.int64)
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int64)[w.doc]
+        size = w.end - w.start
         u, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        names = [f"{langs[w.doc[k]]}\n{w.text(k)}" for k in first]
-        if not self._same(w, first[back]):
-            return np.array([self._add(f"{langs[d]}\n{w.text(k)}") for k, d in enumerate(w.doc)])
         k = np.searchsorted(self.hash, u)
         known = np.zeros(len(u), bool)
         if len(self.hash):
             known = self.hash[np.minimum(k, len(self.hash) - 1)] == u
         ids = np.empty(len(u), np.int64)
-        if known.any():
-            ids[known] = self.at[k[known]]
-        for i in np.flatnonzero(known):
-            if self.name[ids[i]] != names[i]:
-                ids[i] = self._add(names[i])
-        for i in np.flatnonzero(~known):
-            ids[i] = self._add(names[i])
+        ids[known] = self.at[k[known]]
+        new, old = first[~known], first[known]
+        ids[~known] = len(self.size) + np.arange(len(new))
+        rep, had = first[back], ids[known]
+        fine = (size == size[rep]).all() and (lang == lang[rep]).all() and (size[old] == self.size[had]).all() and (lang[old] == self.lang[had]).all()
+        fine = fine and equal_bytes(w.low, w.start, w.low, w.start[rep], size).all() and equal_bytes(w.low, w.start[old], self.store, self.start[had], size[old]).all()
+        if not fine:
+            return self._slowly(w, lang)
+        self._add(w, lang, new)
         self.hash, self.at = np.insert(self.hash, k[~known], u[~known]), np.insert(self.at, k[~known], ids[~known])
         return ids[back]
 
-    def _add(self, name: str) -> int:
-        n = self.number.setdefault(name, len(self.name))
-        if n == len(self.name):
-            self.name.append(name)
-        return n
-
-    @staticmethod
-    def _same(w: Words, other: np.ndarray) -> bool:
-        """Whether every word equals the word at ``other``, its language aside (that
-        is part of the hash of few names)."""
-        size = w.end - w.start
-        if (size != size[other]).any():
-            return False
-        step = 1 << 18
-        for a in range(0, len(size), step):
-            n = size[a : a + step]
-            ramp = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            if (w.low[np.repeat(w.start[a : a + step], n) + ramp] != w.low[np.repeat(w.start[other[a : a + step]], n) + ramp]).any():
-                return False
-        return True
+    def _add(self, w: Words, lang: np.ndarray, new: np.ndarray) -> None:
+        size = w.end[new] - w.start[new]
+        ramp = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        self.start = np.concatenate([self.start, len(self.store) + np.cumsum(size) - size])
+        self.store = np.concatenate([self.store, w.low[np.repeat(w.start[new], size) + ramp]])
+        self.size, self.lang = np.concatenate([self.size, size]), np.concatenate([self.lang, lang[new]])
+
+    def _slowly(self, w: Words, lang: np.ndarray) -> np.ndarray:
+        """Numbers by the words themselves, for documents in which hashes collide."""
+        word = lambda buf, a, n: buf[a : a + n].tobytes()
+        have = {(int(x), word(self.store, a, n)): k for k, (x, a, n) in enumerate(zip(self.lang, self.start, self.size, strict=True))}
+        out = np.zeros(len(w.start), np.int64)
+        for k in range(len(out)):
+            key = (int(lang[k]), word(w.low, w.start[k], w.end[k] - w.start[k]))
+            if key not in have:
+                have[key] = len(self.size)
+                self._add(w, lang, np.array([k]))
+            out[k] = have[key]
+        return out
+
+    def names(self) -> pa.Array:
+        """Language and word of each number, with a newline between."""
+        off = pa.array(np.append(self.start, len(self.store)), pa.int64())
+        words = pa.Array.from_buffers(pa.large_binary(), len(self.size), [None, off.buffers()[1], pa.py_buffer(self.store.tobytes())])
+        try:
+            words = words.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            words = pa.array([x.decode(errors="replace") for x in words.to_pylist()], pa.large_string())
+        lang = pa.array(list(self.langs), pa.large_string()).take(pa.array(self.lang))
+        return pc.binary_join_element_wise(lang, words, pa.scalar("\n", pa.large_string())).cast(pa.string())
 
 
 class Shard:
@@ -200,14 +224,14 @@ class Shard:
     def out(self) -> Iterator[tuple[int, pa.Array, bytes]]:
         """(range, words, transducer) of all that was added, which is forgotten."""
         if self.held:
-            order = sorted(range(len(self.symbols.name)), key=self.symbols.name.__getitem__)
-            names = [self.symbols.name[k] for k in order]
-            rank = np.zeros(len(names) + 1, np.int64)
-            rank[np.array(order) + 1] = np.arange(1, len(names) + 1)
+            words = self.symbols.names()
+            order = pc.sort_indices(words)
+            words = words.take(order)
+            rank = np.zeros(len(words) + 1, np.int64)
+            rank[order.to_numpy() + 1] = np.arange(1, len(words) + 1)
             g = rank[np.concatenate([grams(hi, lo) for hi, lo, _ in self.parts])]
             hi, lo, n = summed(*keys(g), np.concatenate([c for *_, c in self.parts]))
-            words = pa.array(names, pa.string())
-            border = np.concatenate([[0], np.searchsorted(hi, np.array([self._key(names, c) for c in self.cuts], U)), [len(hi)]])
+            border = np.concatenate([[0], np.searchsorted(hi, np.array([self._key(words, c) for c in self.cuts], U)), [len(hi)]])
             for r in range(len(border) - 1):
                 a, b = int(border[r]), int(border[r + 1])
                 if a < b:
@@ -215,10 +239,11 @@ class Shard:
         self._clear()
 
     @staticmethod
-    def _key(names: list[str], cut: tuple[str, str]) -> int:
-        k = bisect_left(names, cut[0])
-        same = k < len(names) and names[k] == cut[0]
-        return (k + 1) << 32 | (1 + bisect_left(names, cut[1]) if same else 0)
+    def _key(words: pa.Array, cut: tuple[str, str]) -> int:
+        place = lambda x: bisect_left(range(len(words)), x, key=lambda k: words[k].as_py())
+        k = place(cut[0])
+        same = k < len(words) and words[k].as_py() == cut[0]
+        return (k + 1) << 32 | (1 + place(cut[1]) if same else 0)
 
 
 def _parts(batches) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
@@ -230,13 +255,19 @@ def _parts(batches) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
             yield raw[off[a] : off[b]], off[a : b + 1] - off[a], langs[a:b]
 
 
+def _row(r: int, words: pa.Array, blob: bytes, totals: dict[str, int]) -> pa.RecordBatch:
+    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    cols = [pa.array([r], pa.int32()), listed, pa.array([blob], pa.binary()), pa.array([list(totals)], pa.list_(pa.string())), pa.array([list(totals.values())], pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(cols, schema=_RANGE_PA)
+
+
 def _shards(cuts, pairs):
     def run(batches):
         shard = Shard(cuts, pairs.value if pairs is not None else None)
 
         def rows():
             for r, words, blob in shard.out():
-                yield pa.RecordBatch.from_pylist([{"range": r, "words": words.to_pylist(), "automaton": blob, "langs": [], "totals": []}], _RANGE_PA)
+                yield _row(r, words, blob, {})
 
         for raw, off, langs in _parts(batches):
             shard.add(raw, off, langs)
@@ -262,8 +293,7 @@ def _unions(min_count: int):
             totals[lang] = totals.get(lang, 0) + int(x)
         often = n >= min_count
         words, blob = packed(words, g[often], n[often])
-        row = {"range": table.column("range")[0].as_py(), "words": words.to_pylist(), "automaton": blob, "langs": list(totals), "totals": list(totals.values())}
-        return pa.Table.from_pylist([row], _RANGE_PA)
+        return pa.Table.from_batches([_row(table.column("range")[0].as_py(), words, blob, totals)])
 
     return run
 

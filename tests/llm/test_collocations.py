@@ -140,9 +140,10 @@ def test_equal_hashes_are_told_apart():
     w.hash[:] = 1
     s = co.Symbols()
     ids = s.of(w, ["en"])
-    assert [s.name[k] for k in ids] == ["en\none", "en\ntwo", "en\none", "en\nthree", "en\ntwo"]
+    assert s.names().take(pa.array(ids)).to_pylist() == ["en\none", "en\ntwo", "en\none", "en\nthree", "en\ntwo"]
     w.start, w.end, w.doc, w.hash = w.start[3:4], w.end[3:4], w.doc[3:4], w.hash[3:4]
-    assert s.name[s.of(w, ["en"])[0]] == "en\nthree"
+    again = [int(s.of(w, [x])[0]) for x in ("en", "de")]
+    assert s.names().take(pa.array(again)).to_pylist() == ["en\nthree", "de\nthree"]
 
 
 def test_filter_only_saves_work(spark, monkeypatch):
