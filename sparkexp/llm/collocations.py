@@ -438,7 +438,9 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_co
     cut = cut.withColumn("score", F.expr("CAST(a AS decimal(20,0)) * 2000000 DIV (CAST(l AS decimal(20,0)) + r)"))
     best = cut.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("m"))
     best = best.select("lang", "phrase", "a", "m.l", "m.r", F.col("m.score").cast("long").alias("score")).join(dropped, ["lang", "phrase"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = best.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
+    # First in slices of a language, so that no task ranks all of its phrases.
+    for by in (["lang", F.pmod(F.xxhash64("phrase"), F.lit(64))], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+        best = best.withColumn("rank", rank.cast("long")).where(F.col("rank") <= top)
     words = short.select(F.explode(F.arrays_zip("langs", "totals")).alias("t")).groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("n"))
     return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
