@@ -22,6 +22,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkexp.operators.bundle import Bundle
+
 
 def _moments(df: DataFrame, features_col: str, label_col: str, d: int) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
     # Two vector-valued aggregates instead of d + d(d+1)/2 scalar sums: the
@@ -67,7 +69,7 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 @dataclass
-class GaussianDiscriminantModel:
+class GaussianDiscriminantModel(Bundle):
     kind: str
     means: dict[int, np.ndarray]
     precisions: dict[int, np.ndarray]

@@ -20,7 +20,7 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark import StorageLevel
@@ -38,9 +38,12 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkexp.operators.boosting import AdaBoost, RidgeClassifier
+from sparkexp.operators.bundle import Bundle
 from sparkexp.operators.classification import average_precision, brier_score, roc_auc, threshold_sweep
 from sparkexp.operators.discriminant import GaussianDiscriminant
 from sparkexp.operators.features import build_preprocessor, split_roles
+from sparkexp.operators.neighbors import NearestNeighbors
 from sparkexp.operators.sampling import stratified_folds
 
 # Discovery-model names mapped to the implementable families.
@@ -91,13 +94,17 @@ SETTINGS = {
         "balanced": (),
     },
 }
+# What one distributed fit may cost. A tree level is a job over all rows and a level
+# of a deep forest a model of millions of nodes, so the counts and depths above are
+# used up to these limits; fewer boosting rounds take proportionally larger steps.
+LIMITS = {"numTrees": 100, "maxDepth": 10, "rounds": 60, "stepSize": 0.3}
 FAMILY_GROUPS = {
     "logistic": ("logisticregression", "lr", "perceptron"),
     "forest": ("randomforest", "randomforestclassifier", "rf", "baggingclassifier"),
     "extra_trees": ("extratrees", "extratreesclassifier", "et"),
     "boosting": ("xgboost", "xgb", "xgbclassifier", "gbt"),
     "light_boosting": ("lightgbm", "lgbm", "lgbmclassifier"),
-    "plain_boosting": ("gradientboosting", "gradientboostingclassifier", "adaboost", "adaboostclassifier"),
+    "plain_boosting": ("gradientboosting", "gradientboostingclassifier"),
 }
 
 
@@ -112,6 +119,21 @@ def wants_balanced_weights(family: str, project: str) -> bool:
 
 # ---------------------------------------------------------------- registry
 
+def fit_settings(project: str, group: str, full: bool = False) -> dict[str, Any]:
+    """Estimator settings of a family group: the project's, within ``LIMITS``
+    unless ``full``."""
+    own = dict(SETTINGS[project][group])
+    if full or group == "logistic":
+        return own
+    for name in ("numTrees", "maxDepth"):
+        if name in own:
+            own[name] = min(own[name], LIMITS[name])
+    if "maxIter" in own and own["maxIter"] > LIMITS["rounds"]:
+        own["stepSize"] = min(LIMITS["stepSize"], own["stepSize"] * own["maxIter"] / LIMITS["rounds"])
+        own["maxIter"] = LIMITS["rounds"]
+    return own
+
+
 def make_classifier(
     family: str,
     seed: int = 42,
@@ -120,43 +142,53 @@ def make_classifier(
     weight_col: str | None = None,
     strict: bool = False,
     project: str = "uplift",
+    full: bool = False,
     **overrides: Any,
 ) -> Estimator:
-    """Family name -> ``pyspark.ml`` estimator with the project's fixed settings
-    (``SETTINGS``); ``overrides`` replace single parameters.
+    """Family name -> estimator with the project's fixed settings (``SETTINGS``)
+    within ``LIMITS`` (``full``: without); ``overrides`` replace single parameters.
 
     Unknown names fall back to logistic regression, or raise when ``strict``.
-    Boosting families (GradientBoosting, AdaBoost, XGBoost, LightGBM) map to
-    GBT; forests and extra trees to random forest; Gaussian NB to NaiveBayes
-    (gaussian); linear / quadratic discriminant analysis to the moment-based
-    ``GaussianDiscriminant``. Nearest neighbours, which ``pyspark.ml`` lacks,
-    are refused rather than replaced by another model under their name.
+    GradientBoosting, XGBoost and LightGBM map to GBT; forests and extra trees to
+    random forest; Gaussian NB to NaiveBayes (gaussian). Discriminant analysis,
+    nearest neighbours, AdaBoost and the ridge classifier, which ``pyspark.ml``
+    lacks, are this library's own.
     """
     n = family.lower().replace(" ", "").replace("_", "")
     common = {"featuresCol": features_col, "labelCol": label_col}
-    fixed, group = SETTINGS[project], family_group(family)
-    if "kneighbors" in n or n == "knn":
-        raise ValueError(f"no estimator for {family}")
-    if n in ("lineardiscriminantanalysis", "lda"):
-        return GaussianDiscriminant("linear", features_col=features_col, label_col=label_col)
-    if n in ("quadraticdiscriminantanalysis", "qda"):
-        return GaussianDiscriminant("quadratic", reg_param=0.1, features_col=features_col, label_col=label_col)
+    group = family_group(family)
+    own = {"features_col": features_col, "label_col": label_col}
+    made = None
+    if n in ("kneighborsclassifier", "kneighbors", "knn"):
+        made = NearestNeighbors(k=25, seed=seed, **own)
+    elif n in ("adaboost", "adaboostclassifier"):
+        made = AdaBoost(rounds=50, **own)
+    elif n in ("ridgeclassifier", "ridge"):
+        made = RidgeClassifier(alpha=1.0, **own)
+    elif n in ("lineardiscriminantanalysis", "lda"):
+        made = GaussianDiscriminant("linear", **own)
+    elif n in ("quadraticdiscriminantanalysis", "qda"):
+        made = GaussianDiscriminant("quadratic", reg_param=0.1, **own)
+    if made is not None:
+        return replace(made, **overrides)
+    fixed = {} if group is None else fit_settings(project, group, full)
+    trees = {"cacheNodeIds": True, "checkpointInterval": 10, "seed": seed}
     if group == "logistic":
-        est = LogisticRegression(**fixed[group], **common)
+        est = LogisticRegression(**fixed, **common)
     elif group in ("forest", "extra_trees"):
-        est = RandomForestClassifier(**fixed[group], seed=seed, **common)
+        est = RandomForestClassifier(**fixed, **trees, **common)
     elif group in ("boosting", "light_boosting", "plain_boosting"):
-        est = GBTClassifier(**fixed[group], seed=seed, **common)
+        est = GBTClassifier(**fixed, **trees, **common)
     elif n in ("decisiontree", "decisiontreeclassifier"):
         est = DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=8, seed=seed, **common)
-    elif n in ("ridgeclassifier", "ridge", "linearsvc"):
+    elif n == "linearsvc":
         est = LinearSVC(maxIter=100, regParam=0.01, **common)
     elif n in ("gaussiannb", "naivebayes"):
         est = NaiveBayes(modelType="gaussian", **common)
     elif strict:
         raise ValueError(f"no settings for the family {family!r}")
     else:
-        est = LogisticRegression(**fixed["logistic"], **common)
+        est = LogisticRegression(**fit_settings(project, "logistic"), **common)
     if weight_col and group is not None:
         est.setWeightCol(weight_col)
     if overrides:
@@ -208,7 +240,7 @@ def baseline_majority(train: DataFrame, df: DataFrame, label_col: str, out_col:
 # ---------------------------------------------------------------- calibration and CV
 
 @dataclass
-class CalibratedModel:
+class CalibratedModel(Bundle):
     """Average of k (base model, Platt sigmoid) pairs fitted by cross-fitting."""
 
     bases: list[Transformer]
@@ -236,7 +268,7 @@ def _fit_sigmoid(scored: DataFrame, score_col: str, label_col: str) -> tuple[flo
 
 
 #: Models whose raw prediction is a decision value (a margin or log-odds).
-DECISION_MODELS = ("LogisticRegressionModel", "GBTClassificationModel", "LinearSVCModel")
+DECISION_MODELS = ("LogisticRegressionModel", "GBTClassificationModel", "LinearSVCModel", "RidgeModel")
 
 
 def calibration_score(model: Transformer, df: DataFrame, out_col: str) -> DataFrame:
@@ -290,7 +322,7 @@ def cross_validate(
 # ---------------------------------------------------------------- uplift learners
 
 @dataclass
-class TLearner:
+class TLearner(Bundle):
     """One response model per arm on a shared, fitted preprocessor;
     uplift = P(y=1 | treated model) - P(y=1 | control model)."""
 
@@ -334,7 +366,7 @@ def fit_t_learner(
     for arm, s in ((1, seed), (0, seed + 1)):
         part = x.where(F.col(treatment_col) == arm)
         est = make_classifier(family, s)
-        if calibrate and family.lower().replace(" ", "") not in ("ridgeclassifier", "linearsvc"):
+        if calibrate and family.lower().replace(" ", "") not in ("linearsvc",):
             models.append(platt_calibrate(part, est, "label", id_col, 3, s))
         else:
             models.append(est.fit(part))
@@ -353,7 +385,7 @@ def x_learner_combine(e_x: Column, tau_control: Column, tau_treated: Column) ->
 
 
 @dataclass
-class XLearner:
+class XLearner(Bundle):
     preprocessor: PipelineModel
     mu_treated: Any
     mu_control: Any
@@ -619,7 +651,7 @@ def budgeted_search(
 # ---------------------------------------------------------------- orchestrated track
 
 @dataclass
-class FinalModel:
+class FinalModel(Bundle):
     preprocessor: PipelineModel
     model: Any
     family: str

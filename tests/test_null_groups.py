@@ -82,5 +82,7 @@ def test_settings_are_the_fixed_ones():
     assert SETTINGS["uplift"]["boosting"] == {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
     assert wants_balanced_weights("random_forest", "churn") and not wants_balanced_weights("xgboost", "churn")
     assert not wants_balanced_weights("random_forest", "uplift")
+    knn = make_classifier("KNeighborsClassifier")
+    assert type(knn).__name__ == "NearestNeighbors" and knn.k == 25
     with pytest.raises(ValueError):
-        make_classifier("KNeighborsClassifier")
+        make_classifier("NoSuchFamily", strict=True)
