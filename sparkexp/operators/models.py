@@ -21,9 +21,10 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -35,7 +36,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkexp.operators.boosting import AdaBoost, RidgeClassifier
@@ -97,7 +98,7 @@ SETTINGS = {
 # What one distributed fit may cost. A tree level is a job over all rows and a level
 # of a deep forest a model of millions of nodes, so the counts and depths above are
 # used up to these limits; fewer boosting rounds take proportionally larger steps.
-LIMITS = {"numTrees": 100, "maxDepth": 10, "rounds": 60, "stepSize": 0.3}
+LIMITS = {"numTrees": 100, "maxDepth": 10, "rounds": 50, "stepSize": 0.3}
 FAMILY_GROUPS = {
     "logistic": ("logisticregression", "lr", "perceptron"),
     "forest": ("randomforest", "randomforestclassifier", "rf", "baggingclassifier"),
@@ -117,6 +118,13 @@ def wants_balanced_weights(family: str, project: str) -> bool:
     return family_group(family) in SETTINGS[project]["balanced"]
 
 
+def at_once(jobs: Sequence[Callable[[], Any]], threads: int = 4) -> list[Any]:
+    """Results of independent jobs, run from ``threads`` threads of the driver, so that
+    Spark fills free executors with the next fit's tasks. The first error is raised."""
+    with ThreadPool(max(1, min(threads, len(jobs)))) as pool:
+        return pool.map(lambda job: inheritable_thread_target(SparkSession.active())(job)(), jobs, chunksize=1)
+
+
 # ---------------------------------------------------------------- registry
 
 def fit_settings(project: str, group: str, full: bool = False) -> dict[str, Any]:
@@ -286,13 +294,14 @@ def platt_calibrate(
     """Sigmoid calibration with k-fold cross-fitting: per fold, fit the base
     model on the other folds and a Platt sigmoid on this fold's scores."""
     folded = stratified_folds(prepared, [label_col], id_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    bases, sigs = [], []
-    for f in range(k):
-        m = estimator.fit(folded.where(F.col("fold") != f))
-        held = calibration_score(m, folded.where(F.col("fold") == f), "_s")
-        bases.append(m)
-        sigs.append(_fit_sigmoid(held, "_s", label_col))
+
+    def pair(f: int) -> tuple[Transformer, tuple[float, float]]:
+        m = (estimator.copy() if f else estimator).fit(folded.where(F.col("fold") != f))
+        return m, _fit_sigmoid(calibration_score(m, folded.where(F.col("fold") == f), "_s"), "_s", label_col)
+
+    pairs = at_once([lambda f=f: pair(f) for f in range(k)])
     folded.unpersist()
+    bases, sigs = [m for m, _ in pairs], [s for _, s in pairs]
     return CalibratedModel(bases, sigs)
 
 
@@ -409,22 +418,25 @@ def fit_x_learner(
     outcome_col: str = "converted",
     seed: int = 42,
     family: str = "xgboost",
+    effect: Mapping[str, Any] | None = None,
 ) -> XLearner:
     """Kuenzel et al. (2019): arm response models, imputed effects regressed
-    per arm (GBT regressors), propensity model, blended by e(x)."""
+    per arm (GBT regressors, settings ``effect``), propensity model, blended by e(x).
+    The two response models, and then the two effect models and the propensity, are
+    independent and fitted at the same time."""
     num, cat = split_roles(train, feature_cols)
     pre = build_preprocessor(train, num, cat)
     x = pre.transform(train).withColumn("label", F.col(outcome_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     t, c = x.where(F.col(treatment_col) == 1), x.where(F.col(treatment_col) == 0)
-    mu1 = make_classifier(family, seed).fit(t)
-    mu0 = make_classifier(family, seed + 1).fit(c)
+    mu1, mu0 = at_once([lambda: make_classifier(family, seed).fit(t), lambda: make_classifier(family, seed + 1).fit(c)])
     d1 = score_with(mu0, t, "_mu0").withColumn("d", F.col("label") - F.col("_mu0"))
     d0 = score_with(mu1, c, "_mu1").withColumn("d", F.col("_mu1") - F.col("label"))
-    reg = GBTRegressor(featuresCol="features", labelCol="d", maxIter=40, maxDepth=4, seed=seed)
-    tau1, tau0 = reg.fit(d1), reg.copy().fit(d0)
-    prop = LogisticRegression(maxIter=100, featuresCol="features", labelCol="_t").fit(
-        x.withColumn("_t", F.col(treatment_col).cast("double"))
-    )
+    settings = {"maxIter": 30, "maxDepth": 4, "seed": seed, "cacheNodeIds": True, **(effect or {})}
+    reg = GBTRegressor(featuresCol="features", labelCol="d", **settings)
+    prop = LogisticRegression(maxIter=100, featuresCol="features", labelCol="_t")
+    tau1, tau0, prop = at_once([
+        lambda: reg.fit(d1), lambda: reg.copy().fit(d0), lambda: prop.fit(x.withColumn("_t", F.col(treatment_col).cast("double"))),
+    ])
     x.unpersist()
     return XLearner(pre, mu1, mu0, tau1, tau0, prop)
 
