@@ -299,7 +299,8 @@ def retrain_triggers(
     """Compare a current metrics row with its baseline and raise the written
     retraining policy flags. Expected columns (missing ones give NULL flags):
     high_drift_share, cost_per_1000, days_since_retrain, auuc, calibration,
-    segment_mix_shift."""
+    segment_mix_shift. A NULL key is a key; one without a baseline keeps its row, with
+    NULL for the flags that compare."""
 
     def col(df: DataFrame, c: str) -> Column:
         return F.col(c) if c in df.columns else F.lit(None).cast("double")
@@ -307,7 +308,7 @@ def retrain_triggers(
     cur = current.select(*key_cols, *[col(current, c).alias(f"cur_{c}") for c in (
         "high_drift_share", "cost_per_1000", "days_since_retrain", "auuc", "calibration", "segment_mix_shift")])
     base = baseline.select(*key_cols, *[col(baseline, c).alias(f"base_{c}") for c in ("cost_per_1000", "auuc", "calibration")])
-    j = cur.join(base, list(key_cols), "inner") if key_cols else cur.crossJoin(base)
+    j = join_keys(cur, base, key_cols, "left")
     flags = {
         "drift_flag": F.col("cur_high_drift_share") > drift_share,
         "cost_flag": F.col("cur_cost_per_1000") >= F.col("base_cost_per_1000") * (1 + cost_increase),

@@ -47,6 +47,14 @@ def ranked_increments(
 ) -> DataFrame:
     """Rows with ``rank`` (1 = highest score), group size ``n``, clipped
     treatment share ``p_t`` and the IPW increment ``inc``."""
+    base, totals = _units_and_totals(df, outcome_col, treatment_col, score_col, id_col, group_cols)
+    ranked = global_rank(base, _order("_score", "_id"), group_cols, "rank", num_partitions=num_partitions)
+    return _with_increments(ranked, totals, group_cols)
+
+
+def _units_and_totals(
+    df: DataFrame, outcome_col: str, treatment_col: str, score_col: str, id_col: str, group_cols: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     base = df.select(
         *group_cols,
         F.col(id_col).alias("_id"),
@@ -58,8 +66,11 @@ def ranked_increments(
         F.count(F.lit(1)).alias("n"),
         F.greatest(F.least(F.avg("_w"), F.lit(1 - CLIP)), F.lit(CLIP)).alias("p_t"),
     )
-    ranked = global_rank(base, _order("_score", "_id"), group_cols, "rank", num_partitions=num_partitions)
-    r = _join_small(ranked, totals, group_cols)
+    return base, totals
+
+
+def _with_increments(units: DataFrame, totals: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    r = _join_small(units, totals, group_cols)
     inc = F.col("_w") * F.col("_y") / F.col("p_t") - (F.lit(1) - F.col("_w")) * F.col("_y") / (F.lit(1.0) - F.col("p_t"))
     return r.withColumn("inc", inc)
 
@@ -130,24 +141,21 @@ def uplift_curve(
     ``points=None`` gives one row per input row (distributed running sum);
     ``points=m`` gives the curve at ranks ceil(j*n/m), j=1..m, as one aggregate.
     """
-    r = ranked_increments(df, outcome_col, treatment_col, score_col, id_col, group_cols)
     if points is None:
-        # Running sum of inc by rank: ranks are already global, so re-rank with sums.
-        base = r.select(*group_cols, "rank", "n", "inc")
-        cum = global_rank(base, [F.col("rank").asc()], group_cols, "_r2", sum_cols=["inc"])
+        # The increments need the totals alone, so one sort ranks and sums them.
+        base, totals = _units_and_totals(df, outcome_col, treatment_col, score_col, id_col, group_cols)
+        cum = global_rank(_with_increments(base, totals, group_cols), _order("_score", "_id"), group_cols, "rank", sum_cols=["inc"])
         return cum.select(
             *group_cols,
             "rank",
             (F.col("rank") / F.col("n")).alias("population_share"),
             F.col("inc_cum").alias("cumulative_gain"),
         )
-    spark = df.sparkSession
-    grid = spark.createDataFrame([(j,) for j in range(1, points + 1)], "point int")
+    r = ranked_increments(df, outcome_col, treatment_col, score_col, id_col, group_cols)
     # bucket = smallest j with rank <= ceil(j*n/m): sums per bucket then a window over m rows
     r = r.withColumn("point", F.ceil(F.col("rank") * F.lit(points) / F.col("n")).cast("int"))
     b = r.groupBy(*group_cols, "point").agg(F.sum("inc").alias("_s"), F.max("rank").alias("rank"), F.first("n").alias("n"))
     w = Window.partitionBy(*group_cols).orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
-    del grid
     return b.select(
         *group_cols,
         "point",

@@ -263,3 +263,28 @@ def q_triggers(spark, sf_dir):
     psi = dr.population_stability_index(e, a, NUM)
     share = psi.agg((F.count_if(F.col("psi") > 0.2) / F.count(F.lit(1))).alias("high_drift_share"))
     return dr.retrain_triggers(cur.crossJoin(share), base)
+
+
+_KEYED_SQL = """
+WITH s AS (SELECT nullif(l_linestatus || l_returnflag, 'FN') AS k, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_quantity / 51.0 AS prob, l_shipdate < TIMESTAMP '1996-01-01' AS old
+           FROM lineitem),
+c AS (SELECT k, old, (count_if(y = 0 AND prob >= 0.5) * 65.0 + count_if(y = 1 AND prob < 0.5) * 320.0) / count(*) * 1000.0 AS cost FROM s GROUP BY k, old),
+j AS (SELECT c.k, c.cost AS cur, b.cost AS base FROM c LEFT JOIN c AS b ON c.k IS NOT DISTINCT FROM b.k AND b.old WHERE NOT c.old)
+SELECT k, CAST(NULL AS BOOLEAN) AS drift_flag, cur >= base * 1.2 AS cost_flag, CAST(NULL AS BOOLEAN) AS age_flag, CAST(NULL AS BOOLEAN) AS auuc_flag,
+       CAST(NULL AS BOOLEAN) AS calibration_flag, CAST(NULL AS BOOLEAN) AS mix_flag, coalesce(cur >= base * 1.2, false) AS retrain FROM j
+"""
+
+
+@register("retrain_triggers_keyed", _KEYED_SQL)
+def q_triggers_keyed(spark, sf_dir):
+    """Triggers per line status and return flag, of which one is NULL and some have
+    no baseline."""
+    from sparkexp.operators.classification import business_cost_per_1000
+
+    use_utc(spark)
+    s = load(spark, sf_dir, "lineitem").select(
+        F.expr("nullif(l_linestatus || l_returnflag, 'FN')").alias("k"), (F.col("l_returnflag") == "R").cast("int").alias("y"),
+        (F.col("l_quantity") / 51.0).alias("prob"), (F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp")).alias("old"),
+    )
+    cost = lambda d: business_cost_per_1000(d, "y", "prob", 0.5, ["k"]).withColumnRenamed("expected_cost_per_1000", "cost_per_1000")
+    return dr.retrain_triggers(cost(s.where("not old")), cost(s.where("old")), ["k"])

@@ -112,11 +112,24 @@ FROM a WHERE n0 > 0 AND n1 > 0
 """
 
 
-@register("welch_ttest", _WELCH_SQL, ["control_mean", "treatment_mean", "difference", "t_stat", "dof"])
+# The tail of the t distribution by Simpson's rule over its density from 0 to |t|.
+_T_STEPS = 2000
+_WELCH_P_SQL = f"""
+WITH w AS ({_WELCH_SQL}),
+c AS (SELECT *, exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) AS scale, abs(t_stat) / {_T_STEPS} AS h FROM w),
+p AS (SELECT feature, h, scale * power(1 + (i * h) * (i * h) / dof, -(dof + 1) / 2)
+             * CASE WHEN i IN (0, {_T_STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS part
+      FROM c, (SELECT unnest(range({_T_STEPS} + 1)) AS i) AS r),
+s AS (SELECT feature, 1 - 2 * sum(part) * min(h) / 3 AS p_value FROM p GROUP BY feature)
+SELECT w.*, s.p_value FROM w JOIN s USING (feature)
+"""
+
+
+@register("welch_ttest", _WELCH_P_SQL, ["control_mean", "treatment_mean", "difference", "t_stat", "dof", "p_value"])
 def q_welch(spark, sf_dir):
-    """Welch statistics (t and Welch-Satterthwaite dof); the p-value is in
-    ``randomization_diagnostics``."""
-    return ex.welch_stats(experiment(spark, sf_dir), "treatment", ["o_totalprice", "c_acctbal"])
+    """The test's p-value beside its statistics (t and Welch-Satterthwaite dof)."""
+    e, cols = experiment(spark, sf_dir), ["o_totalprice", "c_acctbal"]
+    return ex.welch_stats(e, "treatment", cols).join(ex.welch_ttest(e, "treatment", cols).select("feature", "p_value"), "feature")
 
 
 def _chi_sql() -> str:
@@ -150,11 +163,23 @@ HAVING min(c0) > 0 AND min(c1) > 0 AND min(dof) >= 1
 """
 
 
-@register("chi_square_independence", _chi_sql(), ["chi2"])
+# The chi-square tail: the normal one for one degree of freedom, a finite sum for even ones.
+_CHI_P_SQL = f"""
+WITH c AS ({_chi_sql()}),
+s AS (SELECT feature, sum(term) AS tail FROM (
+        SELECT feature, exp(-chi2 / 2) * power(chi2 / 2, k) / exp(lgamma(k + 1)) AS term FROM c, (SELECT unnest(range(50)) AS k) AS r
+        WHERE dof % 2 = 0 AND k < dof / 2) AS x GROUP BY feature)
+SELECT c.*, CASE WHEN dof = 1 THEN {two_sided_p_sql('sqrt(chi2)')} ELSE tail END AS p_value FROM c LEFT JOIN s USING (feature)
+"""
+
+
+@register("chi_square_independence", _CHI_P_SQL, ["chi2", "p_value"])
 def q_chi(spark, sf_dir):
-    """Pearson chi-square statistic and dof per categorical covariate (Yates
-    only for 2x2); the p-value is in ``randomization_diagnostics``."""
-    return ex.chi_square_stats(experiment(spark, sf_dir), "treatment", ["o_orderpriority", "c_mktsegment", "arm3"])
+    """The test's p-value beside Pearson's statistic and its dof per categorical
+    covariate (Yates only for 2x2)."""
+    e, cols = experiment(spark, sf_dir), ["o_orderpriority", "c_mktsegment", "arm3"]
+    p = ex.chi_square_independence(e, "treatment", cols).select("feature", "p_value")
+    return ex.chi_square_stats(e, "treatment", cols).join(p, "feature")
 
 
 @register("chi_square_2x2_pvalue", f"""
@@ -166,7 +191,10 @@ def q_chi_2x2(spark, sf_dir):
     return s.where("dof = 1").select("feature", "chi2", F.expr(two_sided_p_sql("sqrt(chi2)")).alias("p_value"))
 
 
-@register("randomization_diagnostics")
+@register("randomization_diagnostics", f"""
+SELECT feature, 'welch_ttest' AS test, control_mean, treatment_mean, difference, p_value FROM ({_WELCH_P_SQL}) AS w
+UNION ALL SELECT feature, 'chi_square', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), chi2, p_value FROM ({_CHI_P_SQL}) AS c
+""", ["control_mean", "treatment_mean", "difference", "p_value"])
 def q_randomization(spark, sf_dir):
     return ex.randomization_diagnostics(
         experiment(spark, sf_dir),

@@ -106,8 +106,26 @@ FROM ({u}) AS l WHERE num_value IS NOT NULL AND NOT isnan(num_value) AND isfinit
 """
 
 
-@register("log_run", _log_sql(), ["num_value"])
+_RUN_COLS = ["control_rate", "treatment_rate", "absolute_lift", "relative_lift", "p_value"]
+
+
+@register("log_run", f"""
+WITH a AS ({_ab_sql([])})
+SELECT 'run-1' AS run_id, 'param' AS kind, k AS key, v AS value, CAST(NULL AS DOUBLE) AS num_value FROM (VALUES ('table', 'orders'), ('seed', '42'), ('alpha', '0.05')) AS t(k, v)
+UNION ALL {' UNION ALL '.join(f"SELECT 'run-1', 'metric', '{c}', NULL, CAST({c} AS DOUBLE) FROM a" for c in _RUN_COLS)}
+""", ["num_value"])
 def q_log_run(spark, sf_dir):
+    """One run's parameters (as text) and metrics; what is no finite number is left out."""
+    row = ab_test(experiment(spark, sf_dir), "treatment", "converted").first()
+    metrics = {c: row[c] for c in _RUN_COLS} | {"missing": None, "odd": float("nan"), "huge": float("inf"), "text": "n/a"}
+    path = io.scratch_path(spark, "runlog")
+    io.log_run(spark, path, "run-1", {"table": "orders", "seed": 42, "alpha": 0.05}, metrics)
+    log = spark.read.parquet(path)
+    return log.select("run_id", "kind", "key", F.when(F.col("kind") == "param", F.col("value")).alias("value"), "num_value")
+
+
+@register("log_metrics_table", _log_sql(), ["num_value"])
+def q_log_metrics(spark, sf_dir):
     metrics = ab_test(experiment(spark, sf_dir), "treatment", "converted", ["c_mktsegment"])
     path = io.scratch_path(spark, "runlog")
     io.log_metrics_table(metrics, "ab-run", ["c_mktsegment"]).write.mode("append").parquet(path)
