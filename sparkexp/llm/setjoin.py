@@ -12,11 +12,13 @@ most frequent subsets (passages that many texts share) without losing a link.
 
 Equal sets count as one class throughout, numbered by 64 bits of the set that are
 checked against 64 others. Classes that share a signature are
-candidates. Links only matter for reachability, so candidates are verified in
-three rounds: with the smallest class they share most signatures with, with
-the other smallest classes of their signatures, and then with all classes of
-the same signature that are still in another component. Every pair that shares
-a signature is verified or already connected.
+candidates. Links only matter for reachability, so candidates are verified in two
+rounds: with the smallest class they share most signatures with, and then, where a
+signature's classes are still in several components, in groups: a class and all that
+share such a signature of which it is the smallest. A task gets two blocks of a
+group, of bounded size, counts all common shingles at once and passes on the links
+between components; candidate pairs are never rows. Every pair that shares a
+signature is verified or already connected.
 """
 
 from __future__ import annotations
@@ -248,21 +250,89 @@ def link_classes(src: DataFrame, described: DataFrame, rule: Rule, seed: int) ->
     best = hub.groupBy("u").agg(F.max(F.struct("n", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
     e1 = cut_lineage(_verify(best, sets, rule))
     comp = _components(e1)
-    rest = _with_comp(_with_comp(hub.join(best, ["u", "v"], "left_anti"), comp, "u", "cu"), comp, "v", "cv").where("cu <> cv")
-    e2 = cut_lineage(e1.union(_verify(rest, sets, rule)))
-    comp = _components(e2)
-
-    # Signatures whose classes are still in several components.
+    # Signatures whose classes are still in several components. A class and those it is
+    # the smallest of in such signatures are a group: every pair that shares one is in one.
     kc = _with_comp(k, comp, "cls", "comp")
-    open_ = kc.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("sig")
-    kc = cut_lineage(kc.join(open_, "sig"))
-    x = kc.select("sig", F.col("cls").alias("u"), F.col("comp").alias("cu"), F.col("size").alias("nu"))
-    y = kc.select("sig", F.col("cls").alias("v"), F.col("comp").alias("cv"), F.col("size").alias("nv"))
-    fits = (F.col("nu") * 100 >= F.col("nv") * rule.percent) & (F.col("nv") * 100 >= F.col("nu") * rule.percent)
-    cross = x.join(y, "sig").where((F.col("u") > F.col("v")) & (F.col("cu") != F.col("cv")) & fits)
-    cross = cross.select("u", "v").distinct().join(hub, ["u", "v"], "left_anti")
-    e3 = e2.union(_verify(cross, sets, rule))
-    return _components(e3)
+    open_ = kc.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("cls").alias("v")).where("a <> b").select("sig", "v")
+    group = cut_lineage(kc.join(open_, "sig").groupBy("v", "cls", "size", "comp").agg(F.lit(1)).select("v", "cls", "size", "comp"))
+    return _components(e1.union(_verify_groups(group, sets, rule)))
+
+
+#: Classes and shingles of a block; two blocks meet in a task.
+BLOCK_CLASSES, BLOCK_SHINGLES = 2000, 1 << 20
+
+
+def _verify_groups(group: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Links u, v between classes of one group (v, cls, size, comp) and different
+    components: as many as connect what links connect. Groups are cut into blocks of
+    bounded size; all pairs of blocks are compared, but only links are passed on."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    plan = group.groupBy("v").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), blocks.cast("int").alias("blocks")).where("a <> b").select("v", "blocks")
+    g = group.join(plan, "v").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    g = g.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    g = g.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "comp")
+    g = g.join(sets.select("cls", "z", "len"), "cls")
+    return g.groupBy("v", "i", "j").applyInArrow(_block_links(rule), "u long, v long")
+
+
+def common(sets: list[np.ndarray], often: int = 32) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets. Values of few sets count pair by
+    pair, the others by a product of their incidence matrix, some columns at a time."""
+    n = len(sets)
+    out = np.zeros((n, n))
+    who = np.repeat(np.arange(n), [len(x) for x in sets])
+    vals, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    o = np.argsort(at, kind="stable")
+    begin = np.cumsum(df) - df
+    for c in range(2, min(often, n) + 1):
+        rows = who[o[begin[df == c][:, None] + np.arange(c)]]
+        for x in range(c):
+            np.add.at(out, (np.repeat(rows[:, x], c), rows.ravel()), 1)
+    many = np.flatnonzero(df > often)
+    for a in range(0, len(many), 4096):
+        part = many[a : a + 4096]
+        x = np.zeros((n, len(part)), np.float32)
+        size = df[part]
+        of = np.repeat(np.arange(len(part)), size)
+        x[who[o[np.repeat(begin[part] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]], of] = 1
+        out += x @ x.T
+    return out.astype(np.int64)
+
+
+def _block_links(rule: Rule):
+    def run(table: pa.Table) -> pa.Table:
+        cls, comp, own = (table.column(c).to_numpy() for c in ("cls", "comp", "own"))
+        text = [pa.decompress(z, k, codec="zstd", asbytes=True) for z, k in zip(table.column("z").to_pylist(), table.column("len").to_pylist(), strict=True)]
+        vals, off = shingle_sets(pa.RecordBatch.from_arrays([pa.array(text, pa.binary()).cast(pa.string())], names=["text"]), rule.n)
+        both = common([vals[a:b] for a, b in zip(off[:-1], off[1:], strict=True)])
+        size = np.diff(off)
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        linked = 100 * both >= rule.percent * (size[:, None] + size[None, :] - both)
+        linked &= comp[:, None] != comp[None, :]
+        if i != j:
+            linked &= own[:, None] != own[None, :]
+        x, y = np.nonzero(np.triu(linked, 1))
+        # One link for each pair of components, and none that others make needless.
+        label, at = np.unique(comp, return_inverse=True)
+        low, high = np.minimum(at[x], at[y]), np.maximum(at[x], at[y])
+        first = np.unique(low * len(label) + high, return_index=True)[1]
+        root = list(range(len(label)))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        keep = []
+        for k in first:
+            a, b = find(low[k]), find(high[k])
+            if a != b:
+                root[a] = b
+                keep.append(k)
+        return pa.table({"u": pa.array(cls[x[keep]], pa.int64()), "v": pa.array(cls[y[keep]], pa.int64())})
+
+    return run
 
 
 def _distinct_seeds(batches):
