@@ -21,6 +21,7 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce as functools_reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -43,9 +44,11 @@ from sparkexp.operators.boosting import AdaBoost, RidgeClassifier
 from sparkexp.operators.bundle import Bundle
 from sparkexp.operators.classification import average_precision, brier_score, roc_auc, threshold_sweep
 from sparkexp.operators.discriminant import GaussianDiscriminant
+from sparkexp.operators.extra_trees import ExtraTrees
 from sparkexp.operators.features import build_preprocessor, split_roles
 from sparkexp.operators.neighbors import NearestNeighbors
 from sparkexp.operators.sampling import stratified_folds
+from sparkexp.session import cut_lineage
 
 # Discovery-model names mapped to the implementable families.
 LAZY_TO_MANUAL_FAMILY = {
@@ -157,9 +160,9 @@ def make_classifier(
     within ``LIMITS`` (``full``: without); ``overrides`` replace single parameters.
 
     Unknown names fall back to logistic regression, or raise when ``strict``.
-    GradientBoosting, XGBoost and LightGBM map to GBT; forests and extra trees to
-    random forest; Gaussian NB to NaiveBayes (gaussian). Discriminant analysis,
-    nearest neighbours, AdaBoost and the ridge classifier, which ``pyspark.ml``
+    GradientBoosting, XGBoost and LightGBM map to GBT; forests and bagging to random
+    forest; Gaussian NB to NaiveBayes (gaussian). Discriminant analysis, nearest
+    neighbours, extra trees, AdaBoost and the ridge classifier, which ``pyspark.ml``
     lacks, are this library's own.
     """
     n = family.lower().replace(" ", "").replace("_", "")
@@ -177,13 +180,16 @@ def make_classifier(
         made = GaussianDiscriminant("linear", **own)
     elif n in ("quadraticdiscriminantanalysis", "qda"):
         made = GaussianDiscriminant("quadratic", reg_param=0.1, **own)
+    elif group == "extra_trees":
+        f = fit_settings(project, group, full)
+        made = ExtraTrees(f["numTrees"], f["maxDepth"], f["minInstancesPerNode"], balanced=bool(weight_col), seed=seed, **own)
     if made is not None:
         return replace(made, **overrides)
     fixed = {} if group is None else fit_settings(project, group, full)
     trees = {"cacheNodeIds": True, "checkpointInterval": 10, "seed": seed}
     if group == "logistic":
         est = LogisticRegression(**fixed, **common)
-    elif group in ("forest", "extra_trees"):
+    elif group == "forest":
         est = RandomForestClassifier(**fixed, **trees, **common)
     elif group in ("boosting", "light_boosting", "plain_boosting"):
         est = GBTClassifier(**fixed, **trees, **common)
@@ -289,16 +295,28 @@ def calibration_score(model: Transformer, df: DataFrame, out_col: str) -> DataFr
 
 
 def platt_calibrate(
-    prepared: DataFrame, estimator: Estimator, label_col: str, id_col: str, k: int = 3, seed: int = 42
+    prepared: DataFrame, estimator: Estimator, label_col: str, id_col: str, k: int = 3, seed: int = 42, refit: bool = False
 ) -> CalibratedModel:
     """Sigmoid calibration with k-fold cross-fitting: per fold, fit the base
-    model on the other folds and a Platt sigmoid on this fold's scores."""
+    model on the other folds and a Platt sigmoid on this fold's scores. With
+    ``refit`` one sigmoid is fitted on the scores of all folds, each by a model that
+    has not seen it, and joined to one base model fitted on all rows."""
     folded = stratified_folds(prepared, [label_col], id_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
 
     def pair(f: int) -> tuple[Transformer, tuple[float, float]]:
         m = (estimator.copy() if f else estimator).fit(folded.where(F.col("fold") != f))
         return m, _fit_sigmoid(calibration_score(m, folded.where(F.col("fold") == f), "_s"), "_s", label_col)
 
+    def held_scores(f: int) -> DataFrame:
+        m = (estimator.copy() if f else estimator).fit(folded.where(F.col("fold") != f))
+        held = calibration_score(m, folded.where(F.col("fold") == f), "_s")
+        return cut_lineage(held.select("_s", F.col(label_col).cast("double").alias(label_col)))
+
+    if refit:
+        held = at_once([lambda f=f: held_scores(f) for f in range(k)])
+        sigmoid = _fit_sigmoid(functools_reduce(DataFrame.unionByName, held), "_s", label_col)
+        folded.unpersist()
+        return CalibratedModel([estimator.copy().fit(prepared)], [sigmoid])
     pairs = at_once([lambda f=f: pair(f) for f in range(k)])
     folded.unpersist()
     bases, sigs = [m for m, _ in pairs], [s for _, s in pairs]
@@ -451,14 +469,17 @@ def sweep_families(
     preprocessor: PipelineModel,
     seed: int = 42,
     project: str = "churn",
+    parallelism: int = 1,
 ) -> DataFrame:
     """Fit every family on the prepared train split and measure it on valid:
-    ROC AUC, balanced accuracy and F1 at 0.5, fit seconds. One row per family."""
+    ROC AUC, balanced accuracy and F1 at 0.5, fit seconds. One row per family, in the
+    order given; ``parallelism`` of them are fitted at a time. A family that cannot be
+    fitted to these rows is recorded with its error."""
     spark = train.sparkSession
     xt = preprocessor.transform(train).withColumn("label", F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     xv = preprocessor.transform(valid).withColumn("label", F.col(label_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for fam in families:
+
+    def measured(fam: str) -> tuple:
         t0 = time.perf_counter()
         try:
             weighted = wants_balanced_weights(fam, project)
@@ -476,9 +497,11 @@ def sweep_families(
             tnr = r.tn / (r.tn + r.fp) if (r.tn + r.fp) else None
             ba = (tpr + tnr) / 2 if tpr is not None and tnr is not None else (tpr if tpr is not None else tnr)
             f1 = 2 * r.tp / (2 * r.tp + r.fp + r.fn) if (2 * r.tp + r.fp + r.fn) else 0.0
-            rows.append((fam, auc, ba, f1, time.perf_counter() - t0, "ok"))
+            return (fam, auc, ba, f1, time.perf_counter() - t0, "ok")
         except Exception as e:  # noqa: BLE001 - a failed family is recorded, not raised
-            rows.append((fam, None, None, None, time.perf_counter() - t0, f"failed: {type(e).__name__}"))
+            return (fam, None, None, None, time.perf_counter() - t0, f"failed: {type(e).__name__}: {str(e)[:200]}")
+
+    rows = at_once([lambda f=f: measured(f) for f in families], parallelism)
     xt.unpersist()
     xv.unpersist()
     return spark.createDataFrame(
@@ -486,6 +509,32 @@ def sweep_families(
     )
 
 
+def sweep_families_by_arm(
+    train: DataFrame,
+    valid: DataFrame,
+    feature_cols: Sequence[str],
+    families: Sequence[str],
+    treatment_col: str = "treatment",
+    outcome_col: str = "converted",
+    seed: int = 42,
+    parallelism: int = 2,
+    top_n: int = 3,
+) -> tuple[DataFrame, DataFrame]:
+    """Discovery for uplift: every family fitted to each arm on its own, on one
+    preprocessor, both arms at the same time, and ranked by what both arms show
+    (``rank_sweep_uplift``). Returns (ranking, the arms' tables)."""
+    pre = build_preprocessor(train, *split_roles(train, feature_cols))
+
+    def arm(value: int) -> DataFrame:
+        part = lambda d: d.where(F.col(treatment_col) == value)
+        return sweep_families(part(train), part(valid), outcome_col, families, pre, seed + value, "uplift", parallelism)
+
+    treated, control = at_once([lambda: arm(1), lambda: arm(0)])
+    ok = lambda t: t.where("status = 'ok'").withColumnRenamed("model_name", "model_family")
+    both = treated.select(F.lit("treatment").alias("arm"), "*").unionByName(control.select(F.lit("control").alias("arm"), "*"))
+    return rank_sweep_uplift(ok(treated), ok(control), top_n), both
+
+
 def rank_sweep_churn(
     table: DataFrame, top_n: int = 3, min_auc: float = 0.60, min_bal_acc: float = 0.55
 ) -> DataFrame:
@@ -690,29 +739,34 @@ def compare_tune_calibrate_finalize(
     seed: int = 42,
     configs: Sequence[tuple[str, Mapping[str, Any]]] | None = None,
     project: str = "churn",
+    final_rows: DataFrame | None = None,
+    preprocessor: PipelineModel | None = None,
 ) -> FinalModel:
     """Compare families by valid AUC, tune the best (keep the tuned config only
-    if its valid AUC is higher; ``configs`` as in ``budgeted_search``), calibrate
-    on train alone, and pick the cost-optimal threshold on valid, which no fit
-    has seen."""
-    num, cat = split_roles(train, feature_cols)
-    pre = build_preprocessor(train, num, cat)
+    if its valid AUC is higher; ``configs`` as in ``budgeted_search``), and finalise:
+    the chosen setting is fitted on all of ``final_rows`` (default: train) and
+    calibrated by their out-of-fold scores. The threshold is the cost-optimal one on
+    valid, which no fit has seen unless ``final_rows`` holds it."""
+    rows = train if final_rows is None else final_rows
+    pre = preprocessor or build_preprocessor(train, *split_roles(train, feature_cols))
     sweep = sweep_families(train, valid, label_col, families, pre, seed, project)
     best = sweep.where("status = 'ok'").orderBy(F.col("roc_auc").desc_nulls_last(), "model_name").first()
+    if best is None:
+        raise ValueError("no family could be fitted")
     fam = best["model_name"]
     base_auc = best["roc_auc"]
     own = None if configs is None else [c for c in configs if c[0] == fam]
     trials = budgeted_search(train, valid, label_col, pre, [fam], budget_sec, seed, configs=own, project=project)
     cfg_row = trials.where("is_best").first()
     cfg = json.loads(cfg_row["config"]) if cfg_row else {}
-    xt = pre.transform(train).withColumn("label", F.col(label_col).cast("double"))
-    xv = pre.transform(valid).withColumn("label", F.col(label_col).cast("double"))
-    tuned = make_classifier(fam, seed, project=project, **cfg).fit(xt)
-    tuned_auc = roc_auc(score_with(tuned, xv, "_s"), "label", "_s").collect()[0][0]  # one row
+    ready = lambda d: pre.transform(d).withColumn("label", F.col(label_col).cast("double"))
+    tuned = make_classifier(fam, seed, project=project, **cfg).fit(ready(train))
+    tuned_auc = roc_auc(score_with(tuned, ready(valid), "_s"), "label", "_s").collect()[0][0]  # one row
     use_cfg = cfg if (tuned_auc or 0) > (base_auc or 0) else {}
     weighted = wants_balanced_weights(fam, project)
     est = make_classifier(fam, seed, weight_col="_w" if weighted else None, project=project, **use_cfg)
-    model: Any = platt_calibrate(balanced_weights(xt, "label") if weighted else xt, est, "label", id_col, 3, seed)
+    x = ready(rows)
+    model: Any = platt_calibrate(balanced_weights(x, "label") if weighted else x, est, "label", id_col, 3, seed, refit=True)
     fm = FinalModel(pre, model, fam, 0.5)
     scored_valid = fm.score(valid).withColumn("_y", F.col(label_col))
     thr = threshold_sweep(scored_valid, "_y", "score").where("is_best").first()
@@ -722,6 +776,35 @@ def compare_tune_calibrate_finalize(
     return fm
 
 
+def finalize_t_learner(
+    train: DataFrame,
+    feature_cols: Sequence[str],
+    id_col: str = "user_id",
+    treatment_col: str = "treatment",
+    outcome_col: str = "converted",
+    families: Sequence[str] = ("logistic_regression", "random_forest", "xgboost"),
+    budget_sec: float = 20.0,
+    seed: int = 42,
+    configs: Sequence[tuple[str, Mapping[str, Any]]] | None = None,
+    check_share: float = 0.3,
+) -> tuple[TLearner, dict[str, dict[str, Any]]]:
+    """The uplift half of the track: each arm compares and tunes on ``1 - check_share``
+    of its rows, judged on the rest, and its winner is calibrated and fitted on all of
+    them. Returns the learner and each arm's record. The targeting share is chosen
+    afterwards, on rows that are not in ``train``."""
+    pre = build_preprocessor(train, *split_roles(train, feature_cols))
+    made, record = {}, {}
+    for arm, value in (("treatment", 1), ("control", 0)):
+        part = train.where(F.col(treatment_col) == value)
+        checked = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1000)) < int(check_share * 1000)
+        fm = compare_tune_calibrate_finalize(
+            part.where(~checked), part.where(checked), outcome_col, feature_cols, id_col, families, budget_sec, seed + 1 - value, configs, "uplift", part, pre
+        )
+        made[arm], record[arm] = fm.model, fm.record
+    note = "compared, tuned, calibrated and finalised per arm"
+    return TLearner(pre, made["treatment"], made["control"], "Finalized T-Learner", "spark", note), record
+
+
 # ---------------------------------------------------------------- stability
 
 def seed_stability_summary(runs: DataFrame, key_col: str = "candidate_key", metric_col: str = "holdout_primary_metric") -> DataFrame:

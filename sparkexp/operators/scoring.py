@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkexp.operators.clean import align_columns, align_schema
 from sparkexp.operators.models import FinalModel, TLearner
+from sparkexp.session import cut_lineage
 
 
 def score_batch(
@@ -60,6 +61,39 @@ def scoring_throughput(scored: DataFrame, model_path: str | None = None) -> dict
     return {"rows": n, "seconds": elapsed, "infer_latency_ms": 1000.0 * elapsed / max(n, 1), "model_size_mb": size_mb}
 
 
+def latency_distribution(scored: DataFrame, rows_per_call: int = 50) -> DataFrame:
+    """One row: calls, rows, and the mean, median and 95th percentile of the
+    milliseconds a row takes, over calls of ``rows_per_call`` rows.
+
+    Scored rows reach a timer in the same task, ``rows_per_call`` at a time; a call's
+    time is what it takes until they are there, reading and scoring included. A
+    task's first call, which also starts it, is left out if it has others. An empty
+    table has no calls and NULL times."""
+    spark = scored.sparkSession
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def timed(batches):
+        import pyarrow as pa
+
+        calls, t = [], time.perf_counter()
+        for batch in batches:
+            calls.append((batch.num_rows, (time.perf_counter() - t) * 1000.0))
+            t = time.perf_counter()
+        calls = [c for c in calls[1:] or calls if c[0]]
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in calls], pa.int64()), pa.array([m / n for n, m in calls], pa.float64())], names=["n", "ms"])
+
+    spark.conf.set(key, str(rows_per_call))
+    try:
+        calls = cut_lineage(scored.mapInArrow(timed, "n long, ms double"))
+    finally:
+        spark.conf.set(key, before)
+    return calls.agg(
+        F.count("*").alias("calls"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.avg("ms").alias("infer_latency_ms"),
+        F.percentile("ms", F.lit(0.5)).alias("p50_latency_ms"), F.percentile("ms", F.lit(0.95)).alias("p95_latency_ms"),
+    )
+
+
 def directory_size_mb(spark: SparkSession, path: str) -> float:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -288,3 +288,49 @@ def q_triggers_keyed(spark, sf_dir):
     )
     cost = lambda d: business_cost_per_1000(d, "y", "prob", 0.5, ["k"]).withColumnRenamed("expected_cost_per_1000", "cost_per_1000")
     return dr.retrain_triggers(cost(s.where("not old")), cost(s.where("old")), ["k"])
+
+
+_WIN_COLS = ["l_quantity", "l_extendedprice"]
+
+
+def _window_psi_sql() -> str:
+    train, later = "(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-01')", "(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01')"
+    edges = ", ".join(f"quantile_cont(v, {i / 10!r})" for i in range(11))
+    unpivot = " UNION ALL ".join(f"SELECT l_shipdate AS ts, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {{src}} AS t_{c}" for c in _WIN_COLS)
+    return f"""
+WITH e AS ({unpivot.format(src=train)}), a AS ({unpivot.format(src=later)}),
+el AS (SELECT feature, list_sort(list_distinct([{edges}])) AS edges FROM e GROUP BY feature),
+b AS (SELECT feature, edges, len(edges) - 1 AS nb, unnest(range(0, len(edges) - 1)) AS bin FROM el),
+eb AS (SELECT feature, least(len(list_filter(edges, lambda x: x <= v)), len(edges) - 1) - 1 AS bin FROM e JOIN el USING (feature) WHERE v BETWEEN edges[1] AND edges[-1]),
+ab AS (SELECT time_bucket(INTERVAL 180 DAYS, ts, TIMESTAMP '1970-01-01') AS w, feature, least(len(list_filter(edges, lambda x: x <= v)), len(edges) - 1) - 1 AS bin,
+              v BETWEEN edges[1] AND edges[-1] AS inside FROM a JOIN el USING (feature)),
+ec AS (SELECT feature, bin, count(*) AS c FROM eb GROUP BY ALL),
+ac AS (SELECT w, feature, bin, count(*) AS c FROM ab WHERE inside GROUP BY ALL),
+n AS (SELECT w, feature, count(*) AS rows FROM ab GROUP BY ALL),
+m AS (SELECT n.w, n.feature, n.rows, b.nb, coalesce(ec.c, 0) AS ce, coalesce(ac.c, 0) AS ca FROM n JOIN b USING (feature)
+      LEFT JOIN ec USING (feature, bin) LEFT JOIN ac ON ac.w = n.w AND ac.feature = n.feature AND ac.bin = b.bin),
+s AS (SELECT *, (ce + 1e-6) / (sum(ce) OVER (PARTITION BY w, feature) + 1e-6 * nb) AS pe, (ca + 1e-6) / (sum(ca) OVER (PARTITION BY w, feature) + 1e-6 * nb) AS pa FROM m),
+p AS (SELECT w AS window_start, feature, min(rows) AS rows, sum((pa - pe) * ln(pa / pe)) AS psi FROM s GROUP BY w, feature)
+SELECT *, CASE WHEN psi > {dr.HIGH!r} THEN 'high' WHEN psi > {dr.MEDIUM!r} THEN 'medium' ELSE 'low' END AS drift_level FROM p
+"""
+
+
+@register("windowed_drift_stream", _window_psi_sql(), ["psi"])
+def q_windowed_drift(spark, sf_dir):
+    """Drift per 180 days of a stream of line items against those shipped before
+    1995. The files are in no order of time, so the watermark allows for all of it."""
+    from sparkexp.sources import io
+    from sparkexp.streaming import drift as sd
+    from sparkexp.streaming.scoring import read_record_stream, run_windowed
+
+    use_utc(spark)
+    # Event times of a watermark have a time zone.
+    li = load(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), *_WIN_COLS)
+    cut = F.col("l_shipdate") < F.lit("1995-01-01").cast("timestamp")
+    ref = sd.training_histogram(li.where(cut), _WIN_COLS)
+    src = io.scratch_path(spark, "drift-src")
+    li.where(~cut).repartition(6).write.mode("overwrite").parquet(src)
+    stream = read_record_stream(spark, src, li.schema, "parquet", max_files_per_trigger=2)
+    out, ck = io.scratch_path(spark, "drift-out"), io.scratch_path(spark, "drift-ck")
+    run_windowed(sd.windowed_histogram(stream, ref, "l_shipdate", _WIN_COLS, "180 days", "4000 days"), out, ck)
+    return sd.latest_drift(spark, out, ref)
