@@ -79,7 +79,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
     if DIGIT.search(text):
         if "." in text:
-            out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
                 d = re.sub(r"[^0-9]", "", m[0])
