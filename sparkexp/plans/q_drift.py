@@ -294,7 +294,7 @@ _WIN_COLS = ["l_quantity", "l_extendedprice"]
 
 
 def _window_psi_sql() -> str:
-    train, later = "(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-01')", "(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01')"
+    train, later = "(SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')", "(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01')"
     edges = ", ".join(f"quantile_cont(v, {i / 10!r})" for i in range(11))
     unpivot = " UNION ALL ".join(f"SELECT l_shipdate AS ts, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {{src}} AS t_{c}" for c in _WIN_COLS)
     return f"""
@@ -318,7 +318,7 @@ SELECT *, CASE WHEN psi > {dr.HIGH!r} THEN 'high' WHEN psi > {dr.MEDIUM!r} THEN
 @register("windowed_drift_stream", _window_psi_sql(), ["psi"])
 def q_windowed_drift(spark, sf_dir):
     """Drift per 180 days of a stream of line items against those shipped before
-    1995. The files are in no order of time, so the watermark allows for all of it."""
+    1998. The files are in no order of time, so the watermark allows for all of it."""
     from sparkexp.sources import io
     from sparkexp.streaming import drift as sd
     from sparkexp.streaming.scoring import read_record_stream, run_windowed
@@ -326,7 +326,7 @@ def q_windowed_drift(spark, sf_dir):
     use_utc(spark)
     # Event times of a watermark have a time zone.
     li = load(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), *_WIN_COLS)
-    cut = F.col("l_shipdate") < F.lit("1995-01-01").cast("timestamp")
+    cut = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp")
     ref = sd.training_histogram(li.where(cut), _WIN_COLS)
     src = io.scratch_path(spark, "drift-src")
     li.where(~cut).repartition(6).write.mode("overwrite").parquet(src)
