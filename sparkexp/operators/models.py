@@ -46,6 +46,7 @@ from sparkexp.operators.classification import average_precision, brier_score, ro
 from sparkexp.operators.discriminant import GaussianDiscriminant
 from sparkexp.operators.extra_trees import ExtraTrees
 from sparkexp.operators.features import build_preprocessor, split_roles
+from sparkexp.operators.histogram_boosting import HistogramBoosting
 from sparkexp.operators.neighbors import NearestNeighbors
 from sparkexp.operators.sampling import stratified_folds
 from sparkexp.session import cut_lineage
@@ -84,7 +85,7 @@ SETTINGS = {
         "forest": {"numTrees": 400, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 2},
         "extra_trees": {"numTrees": 400, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 2},
         "boosting": {"maxIter": 450, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.85"},
-        "light_boosting": {"maxIter": 450, "maxDepth": 4, "stepSize": 0.05},
+        "light_boosting": {"maxIter": 450, "stepSize": 0.05},
         "plain_boosting": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
         "balanced": ("logistic", "forest", "extra_trees"),
     },
@@ -93,7 +94,7 @@ SETTINGS = {
         "forest": {"numTrees": 300, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 5},
         "extra_trees": {"numTrees": 350, "maxDepth": UNLIMITED_DEPTH, "minInstancesPerNode": 3},
         "boosting": {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"},
-        "light_boosting": {"maxIter": 350, "maxDepth": 5, "stepSize": 0.05},
+        "light_boosting": {"maxIter": 350, "stepSize": 0.05},
         "plain_boosting": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
         "balanced": (),
     },
@@ -101,7 +102,9 @@ SETTINGS = {
 # What one distributed fit may cost. A tree level is a job over all rows and a level
 # of a deep forest a model of millions of nodes, so the counts and depths above are
 # used up to these limits; fewer boosting rounds take proportionally larger steps.
-LIMITS = {"numTrees": 100, "maxDepth": 10, "rounds": 50, "stepSize": 0.3}
+LIMITS = {"numTrees": 100, "maxDepth": 10, "rounds": 50, "second_order_rounds": 25, "stepSize": 0.3}
+#: Names of ``SETTINGS`` and of search grids in this library's boosting.
+BOOSTING_NAMES = {"maxIter": "rounds", "stepSize": "rate", "maxDepth": "max_depth", "subsamplingRate": "rows_share"}
 FAMILY_GROUPS = {
     "logistic": ("logisticregression", "lr", "perceptron"),
     "forest": ("randomforest", "randomforestclassifier", "rf", "baggingclassifier"),
@@ -139,9 +142,10 @@ def fit_settings(project: str, group: str, full: bool = False) -> dict[str, Any]
     for name in ("numTrees", "maxDepth"):
         if name in own:
             own[name] = min(own[name], LIMITS[name])
-    if "maxIter" in own and own["maxIter"] > LIMITS["rounds"]:
-        own["stepSize"] = min(LIMITS["stepSize"], own["stepSize"] * own["maxIter"] / LIMITS["rounds"])
-        own["maxIter"] = LIMITS["rounds"]
+    rounds = LIMITS["second_order_rounds" if group in ("boosting", "light_boosting") else "rounds"]
+    if "maxIter" in own and own["maxIter"] > rounds:
+        own["stepSize"] = min(LIMITS["stepSize"], own["stepSize"] * own["maxIter"] / rounds)
+        own["maxIter"] = rounds
     return own
 
 
@@ -160,10 +164,10 @@ def make_classifier(
     within ``LIMITS`` (``full``: without); ``overrides`` replace single parameters.
 
     Unknown names fall back to logistic regression, or raise when ``strict``.
-    GradientBoosting, XGBoost and LightGBM map to GBT; forests and bagging to random
-    forest; Gaussian NB to NaiveBayes (gaussian). Discriminant analysis, nearest
-    neighbours, extra trees, AdaBoost and the ridge classifier, which ``pyspark.ml``
-    lacks, are this library's own.
+    GradientBoosting maps to GBT; forests and bagging to random forest; Gaussian NB to
+    NaiveBayes (gaussian). Discriminant analysis, nearest neighbours, extra trees,
+    AdaBoost, the ridge classifier and second-order boosting (XGBoost level by level,
+    LightGBM leaf by leaf), which ``pyspark.ml`` lacks, are this library's own.
     """
     n = family.lower().replace(" ", "").replace("_", "")
     common = {"featuresCol": features_col, "labelCol": label_col}
@@ -183,6 +187,15 @@ def make_classifier(
     elif group == "extra_trees":
         f = fit_settings(project, group, full)
         made = ExtraTrees(f["numTrees"], f["maxDepth"], f["minInstancesPerNode"], balanced=bool(weight_col), seed=seed, **own)
+    elif group in ("boosting", "light_boosting"):
+        f = fit_settings(project, group, full)
+        steps = {"rounds": f["maxIter"], "rate": f["stepSize"], "seed": seed, **own}
+        if group == "boosting":
+            shares = {"rows_share": f["subsamplingRate"], "features_share": float(f["featureSubsetStrategy"])}
+            made = HistogramBoosting(max_leaves=0, max_depth=f["maxDepth"], l2=1.0, min_hessian=1.0, min_rows=1, **shares, **steps)
+        else:
+            made = HistogramBoosting(max_leaves=31, max_depth=0 if full else LIMITS["maxDepth"], **steps)
+        overrides = {BOOSTING_NAMES.get(k, k): v for k, v in overrides.items()}
     if made is not None:
         return replace(made, **overrides)
     fixed = {} if group is None else fit_settings(project, group, full)
@@ -191,7 +204,7 @@ def make_classifier(
         est = LogisticRegression(**fixed, **common)
     elif group == "forest":
         est = RandomForestClassifier(**fixed, **trees, **common)
-    elif group in ("boosting", "light_boosting", "plain_boosting"):
+    elif group == "plain_boosting":
         est = GBTClassifier(**fixed, **trees, **common)
     elif n in ("decisiontree", "decisiontreeclassifier"):
         est = DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=8, seed=seed, **common)
