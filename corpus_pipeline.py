@@ -47,10 +47,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, Jaccard 0.85) the
+    """Of each group of near duplicates (five-word shingles, Jaccard 0.8) the
     document with the smallest id stays (NULL is the largest), of its equal rows
     one. Texts without words are no duplicates of each other and all stay."""
-    j = jaccard_components(docs, n=5, percent=85)
+    j = jaccard_components(docs, n=5, percent=80)
     # Of a group's rows that share the smallest id but not the text: the smallest hash.
     first = j.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("did", "rid")).alias("f"))
     first = first.select(F.col("f.did").alias("f_did"), F.col("f.rid").alias("f_rid"))
