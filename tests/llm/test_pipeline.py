@@ -37,7 +37,7 @@ def test_stages(spark):
 
     near = stage[names[2]](spark, lines, SF_SMALL)
     rows = _rows(lines)
-    first = {c for d, _, c in data.jaccard(rows, 5, 85)}
+    first = {c for d, _, c in data.jaccard(rows, 5, 80)}
     assert sorted(r[0] for r in _rows(near)) == sorted(first) and near.columns == docs.columns
 
     clean = stage[names[3]](spark, near, SF_SMALL)
@@ -57,7 +57,7 @@ def test_near_duplicates_keep_one_row_a_group(spark, rows):
     import corpus_pipeline as p
 
     # Brute force over row numbers in place of ids names the groups.
-    group = [c for _, _, c in data.jaccard([(k, t) for k, (_, t, *_) in enumerate(rows)], 5, 85)]
+    group = [c for _, _, c in data.jaccard([(k, t) for k, (_, t, *_) in enumerate(rows)], 5, 80)]
     least: dict = {}
     for (i, *_), c in zip(rows, group, strict=True):
         least[c] = min(least.get(c, 1 << 63), (1 << 63) - 1 if i is None else i)
