@@ -106,18 +106,31 @@ FROM ({u}) AS l WHERE num_value IS NOT NULL AND NOT isnan(num_value) AND isfinit
 """
 
 
-_RUN_COLS = ["control_rate", "treatment_rate", "absolute_lift", "relative_lift", "p_value"]
+_RUN_COLS = ["n_control", "n_treatment", "control_rate", "treatment_rate", "absolute_lift", "relative_lift", "ci_low", "ci_high", "p_value"]
 
 
-@register("log_run", f"""
-WITH a AS ({_ab_sql([])})
+def _run_sql() -> str:
+    metrics = " UNION ALL ".join(
+        f"SELECT {prefix}'{c}' AS key, CAST({c} AS DOUBLE) AS num_value FROM {t}"
+        for t, prefix in (("a", ""), ("s", "coalesce(c_mktsegment, '') || ':' || "))
+        for c in _RUN_COLS
+    )
+    return f"""
+WITH a AS ({_ab_sql([])}), s AS ({_ab_sql(['c_mktsegment'])})
 SELECT 'run-1' AS run_id, 'param' AS kind, k AS key, v AS value, CAST(NULL AS DOUBLE) AS num_value FROM (VALUES ('table', 'orders'), ('seed', '42'), ('alpha', '0.05')) AS t(k, v)
-UNION ALL {' UNION ALL '.join(f"SELECT 'run-1', 'metric', '{c}', NULL, CAST({c} AS DOUBLE) FROM a" for c in _RUN_COLS)}
-""", ["num_value"])
+UNION ALL SELECT 'run-1', 'metric', key, NULL, num_value FROM ({metrics}) AS l WHERE num_value IS NOT NULL AND NOT isnan(num_value) AND isfinite(num_value)
+"""
+
+
+@register("log_run", _run_sql(), ["num_value"])
 def q_log_run(spark, sf_dir):
-    """One run's parameters (as text) and metrics; what is no finite number is left out."""
-    row = ab_test(experiment(spark, sf_dir), "treatment", "converted").first()
+    """One run's parameters (as text) and all metrics, over all rows and per segment; what is
+    no finite number is left out."""
+    e = experiment(spark, sf_dir)
+    row = ab_test(e, "treatment", "converted").first()
     metrics = {c: row[c] for c in _RUN_COLS} | {"missing": None, "odd": float("nan"), "huge": float("inf"), "text": "n/a"}
+    for r in ab_test(e, "treatment", "converted", ["c_mktsegment"]).collect():  # one row per segment
+        metrics |= {f"{r['c_mktsegment'] or ''}:{c}": r[c] for c in _RUN_COLS}
     path = io.scratch_path(spark, "runlog")
     io.log_run(spark, path, "run-1", {"table": "orders", "seed": 42, "alpha": 0.05}, metrics)
     log = spark.read.parquet(path)
