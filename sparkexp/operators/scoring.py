@@ -63,7 +63,8 @@ def scoring_throughput(scored: DataFrame, model_path: str | None = None) -> dict
 
 def latency_distribution(scored: DataFrame, rows_per_call: int = 50) -> DataFrame:
     """One row: calls, rows, and the mean, median and 95th percentile of the
-    milliseconds a row takes, over calls of ``rows_per_call`` rows.
+    milliseconds a row takes, over calls of ``rows_per_call`` rows; and ``left_out``, the
+    rows of calls that are not counted.
 
     Scored rows reach a timer in the same task, ``rows_per_call`` at a time; a call's
     time is what it takes until they are there, reading and scoring included. A
@@ -80,8 +81,10 @@ def latency_distribution(scored: DataFrame, rows_per_call: int = 50) -> DataFram
         for batch in batches:
             calls.append((batch.num_rows, (time.perf_counter() - t) * 1000.0))
             t = time.perf_counter()
+        first = [(n, None) for n, _ in calls[:1] if len(calls) > 1]
         calls = [c for c in calls[1:] or calls if c[0]]
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in calls], pa.int64()), pa.array([m / n for n, m in calls], pa.float64())], names=["n", "ms"])
+        calls = first + [(n, m / n) for n, m in calls]
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in calls], pa.int64()), pa.array([m for _, m in calls], pa.float64())], names=["n", "ms"])
 
     spark.conf.set(key, str(rows_per_call))
     try:
@@ -89,8 +92,9 @@ def latency_distribution(scored: DataFrame, rows_per_call: int = 50) -> DataFram
     finally:
         spark.conf.set(key, before)
     return calls.agg(
-        F.count("*").alias("calls"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.avg("ms").alias("infer_latency_ms"),
+        F.count("ms").alias("calls"), F.coalesce(F.sum(F.when(F.col("ms").isNotNull(), F.col("n"))), F.lit(0)).alias("rows"), F.avg("ms").alias("infer_latency_ms"),
         F.percentile("ms", F.lit(0.5)).alias("p50_latency_ms"), F.percentile("ms", F.lit(0.95)).alias("p95_latency_ms"),
+        F.coalesce(F.sum(F.when(F.col("ms").isNull(), F.col("n"))), F.lit(0)).alias("left_out"),
     )
 
 
