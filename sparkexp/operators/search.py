@@ -160,7 +160,9 @@ def halving_search(
     evaluator = METRICS[metric](label_col)
     sign = -1.0 if evaluator.isLargerBetter() else 1.0
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 20))
-    folded = stratified_folds(prepared, [label_col], id_col, folds, seed).withColumn("_at", place).persist(StorageLevel.MEMORY_AND_DISK)
+    # What every family reads; a copy of all columns would be several times as large.
+    needed = prepared.select(*dict.fromkeys(["features", label_col, id_col]))
+    folded = stratified_folds(needed, [label_col], id_col, folds, seed).withColumn("_at", place).persist(StorageLevel.MEMORY_AND_DISK)
     rows, left, began = [], list(range(len(configs))), time.perf_counter()
     schedule = halving_schedule(len(configs), eta, least_share)
 
@@ -220,7 +222,8 @@ def search_t_learner(
 
     began = time.perf_counter()
     pre = build_preprocessor(train, *split_roles(train, feature_cols))
-    x = pre.transform(train).withColumn("label", F.col(outcome_col).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
+    x = pre.transform(train).withColumn("label", F.col(outcome_col).cast("double"))
+    x = x.select(*dict.fromkeys(["features", "label", treatment_col, id_col])).persist(StorageLevel.MEMORY_AND_DISK)
     fitted, trials = {}, None
     for arm, own_seed in (("treatment", seed), ("control", seed + 1)):
         part = x.where(F.col(treatment_col) == int(arm == "treatment"))
