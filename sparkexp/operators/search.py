@@ -91,13 +91,13 @@ def fold_search(
     ``CrossValidator``. One row per setting: its JSON, mean and population std of the
     metric, and whether it is the best (of equals the first); and the fitted model,
     refitted on all rows."""
-    k = folded.agg(F.max(fold_col)).first()[0]
-    if k is None:
-        raise ValueError("empty training data")
     maps = [{estimator.getParam(n): v for n, v in g.items()} for g in grid]
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=int(k) + 1, foldCol=fold_col, parallelism=parallelism)
     data = folded.withColumn(fold_col, F.col(fold_col).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        k = data.agg(F.max(fold_col)).first()[0]
+        if k is None:
+            raise ValueError("empty training data")
+        cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=int(k) + 1, foldCol=fold_col, parallelism=parallelism)
         model = cv.fit(data)
     finally:
         data.unpersist()
